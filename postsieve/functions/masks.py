@@ -56,3 +56,9 @@ def with_masked_text(
     out = out or column
     masked = with_rewrites(df, column, out, map(mask_step, rules))
     return masked.withColumn(out, finish(F.col(out)))
+
+
+def count_tag(col: Column, tag: str) -> Column:
+    """Number of times a tag occurs in a text."""
+    cut = F.length(F.replace(col, F.lit(tag), F.lit("")))
+    return ((F.length(col) - cut) / len(tag)).cast("bigint")

@@ -12,9 +12,9 @@ import mimetypes
 from collections.abc import Iterator
 from email.header import decode_header
 from email.message import Message
-from email.utils import parsedate_to_datetime
 
 import pandas as pd
+from dateutil import parser as date_parser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +67,7 @@ def _parse(mid: str, content: bytes, attachments: bool) -> dict:
     else:
         subject = fragment.decode("ascii", "replace") if isinstance(fragment, bytes) else fragment
     # the sender's own clock: the offset is dropped, not converted
-    sent = parsedate_to_datetime(message["date"]).replace(tzinfo=None)
+    sent = date_parser.parse(message["date"]).replace(tzinfo=None)
     return {
         "mid": mid,
         **{name: _text(message[name]) for name in ("to", "from", "cc", "bcc")},
