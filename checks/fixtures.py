@@ -149,7 +149,8 @@ FIXTURES = {
         "else cast(null as string) end as encoding, "
         "o.o_orderkey % 12 as file_seq, o.o_orderkey as row_seq "
         "from {orders} o join {customer} c on o.o_custkey = c.c_custkey "
-        "join {fx_documents} d on d.doc_id = o.o_orderkey % (select count(*) from {documents})"
+        "cross join (select count(*) as n from {documents}) s "
+        "join {fx_documents} d on d.doc_id = o.o_orderkey % s.n"
     ),
     "fx_index": (
         f"select {_pad(8, 'o_orderkey')} as doc_key, concat(case when o_orderkey % 7 = 0 then '﻿' else '' end, "
@@ -159,8 +160,8 @@ FIXTURES = {
     "fx_body": (
         f"select {_pad(8, 'o.o_orderkey')} as doc_key, concat('﻿', 'Muster Finanzdienste Musterbank GmbH ', "
         f"{_case('o.o_orderkey % 20', _SALUTATIONS)}, ' ', d.text, '\n', {_case('o.o_orderkey % 11', _CLOSINGS)}) as rawbody "
-        "from {orders} o join {fx_documents} d on d.doc_id = o.o_orderkey % (select count(*) from {documents}) "
-        "where o.o_orderkey % 11 <> 0 "
+        "from {orders} o cross join (select count(*) as n from {documents}) s "
+        "join {fx_documents} d on d.doc_id = o.o_orderkey % s.n where o.o_orderkey % 11 <> 0 "
         f"union all select concat('X', {_pad(7, 'doc_id')}) as doc_key, text as rawbody from {{fx_documents}}"
     ),
     "fx_report": (
@@ -212,6 +213,10 @@ FIXTURES = {
     ),
 }
 
+#: fixtures whose first table is spread over all cores before the text work
+SPREAD = {"fx_mail": "orders", "fx_body": "orders", "fx_documents": "documents",
+          "fx_plain": "documents"}
+
 _BASE = frozenset(
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations".split()

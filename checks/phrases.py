@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import sql as Q
 from checks.registry import Context, query
 from postsieve.functions import phrases as P
-from postsieve.functions.rewrite import with_rewrites
+from postsieve.functions.rewrite import rewrite
 from postsieve.operators.filters import is_trimmed
 
 
@@ -18,8 +18,7 @@ def _body(expression: str) -> str:
 def _steps(name: str, expression: str, steps) -> None:
     @query(name, _body(expression))
     def run(ctx: Context):
-        mails = ctx("fx_mail").select("row_seq", "body")
-        return with_rewrites(mails, "body", "cleaned", steps()).drop("body")
+        return ctx("fx_mail").select("row_seq", rewrite(F.col("body"), steps()).alias("cleaned"))
 
 
 @query("c1_replace_controls", _body(Q.controls("body")))
@@ -40,9 +39,8 @@ _steps("c7_tag_footers", Q.footers("body"), P.footer_steps)
     f"select doc_key, {Q.organisation('rawbody')} as cleaned from {{fx_body}}",
 )
 def c8(ctx: Context):
-    return with_rewrites(ctx("fx_body"), "rawbody", "cleaned", P.organisation_steps()).drop(
-        "rawbody"
-    )
+    cleaned = rewrite(F.col("rawbody"), P.organisation_steps())
+    return ctx("fx_body").select("doc_key", cleaned.alias("cleaned"))
 
 
 @query("c9_truncate", "select doc_id, substr(text, 1, 10000) as cleaned from {documents}")
@@ -83,9 +81,8 @@ def clean_capture(ctx: Context):
     + " as cleaned from {fx_mail}",
 )
 def clean_mail_strict(ctx: Context):
-    mails = ctx("fx_mail").select("row_seq", "body")
     steps = P.salutation_steps(compat=False) + P.closing_steps(compat=False)
-    return with_rewrites(mails, "body", "cleaned", steps).drop("body")
+    return ctx("fx_mail").select("row_seq", rewrite(F.col("body"), steps).alias("cleaned"))
 
 
 @query(

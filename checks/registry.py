@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.fixtures import FIXTURES, duckdb_sql, fixture_sql, inputs
+from checks.fixtures import FIXTURES, SPREAD, duckdb_sql, fixture_sql, inputs
+from postsieve.session import spread
 
 
 class Context:
@@ -20,15 +21,15 @@ class Context:
     def __call__(self, name: str) -> DataFrame:
         if name not in self._known:
             if name in FIXTURES:
-                self._known[name] = self.sql(fixture_sql(name, "spark"))
+                text = fixture_sql(name, "spark")
+                tables = {table: self(table) for table in inputs(text)}
+                if name in SPREAD:
+                    tables[SPREAD[name]] = spread(tables[SPREAD[name]])
+                self._known[name] = self.spark.sql(text, **tables)
             else:
                 self._known[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._known[name]
 
-    def sql(self, text: str) -> DataFrame:
-        """A select whose table and fixture names stand in braces."""
-        return self.spark.sql(text, **{name: self(name) for name in inputs(text)})
-
 
 Query = Callable[[Context], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -47,7 +47,7 @@ def propose_charset(body: Column) -> Column:
             F.lit("").alias("language"),
         )
 
-    latin = F.decode(body, F.lit("iso-8859-1"))
+    latin = F.decode(body, "iso-8859-1")
     return (
         F.when(body.isNull() | (F.octet_length(body) == 0), proposal(None, 0.0))
         .when(F.startswith(head, F.lit("EFBBBF")), proposal("utf-8-sig", 1.0))
@@ -99,7 +99,7 @@ def decode_body(body: Column, encoding: Column, other_charsets: bool = True) ->
     without it, or for an unknown name, the result is null.
     """
     name = F.lower(F.trim(encoding))
-    latin = F.decode(body, F.lit("iso-8859-1"))
+    latin = F.decode(body, "iso-8859-1")
     text = (
         F.when(name.isin("utf-8-sig"), F.regexp_replace(decode_utf8(body), "^\ufeff", ""))
         .when(name.isin(*_UTF8), decode_utf8(body))

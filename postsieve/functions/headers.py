@@ -53,5 +53,5 @@ def decode_subject(subject: Column) -> Column:
     pattern = r"(?i)^=\?utf-8\?b\?([A-Za-z0-9+/=]*)\?="
     payload = F.regexp_extract(subject, pattern, 1)
     return F.when(
-        subject.rlike(pattern), F.decode(F.unbase64(payload), F.lit("utf-8"))
+        subject.rlike(pattern), F.decode(F.unbase64(payload), "utf-8")
     ).otherwise(subject)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.functions.rewrite import Step, java_pattern, rewrite, with_rewrites
+from postsieve.functions.rewrite import Step, java_pattern, rewrite
 from postsieve.rules.mask_rules import FAILED_TEXT, MASK_SEQUENCE, WHITESPACE, MaskRule
 
 
@@ -38,7 +38,13 @@ def finish(col: Column) -> Column:
 
 
 def mask_text(col: Column, rules: Sequence[MaskRule] = MASK_SEQUENCE) -> Column:
-    """All rules as one nested expression, for short columns such as subjects."""
+    """All rules in order.
+
+    The hints are tested on the unmasked text.  That is safe for
+    ``MASK_SEQUENCE``: tags are set off by spaces and hold no seven-capital
+    word, and masking only shortens runs, so a match after masking always
+    leaves its hint in the original text.
+    """
     return finish(rewrite(col, map(mask_step, rules)))
 
 
@@ -46,16 +52,8 @@ def with_masked_text(
     df: DataFrame, column: str, out: str | None = None,
     rules: Sequence[MaskRule] = MASK_SEQUENCE,
 ) -> DataFrame:
-    """All rules on a long text column, each one only where it can match.
-
-    The hints are tested on the unmasked text.  That is safe for
-    ``MASK_SEQUENCE``: tags are set off by spaces and hold no seven-capital
-    word, and masking only shortens runs, so a match after masking always
-    leaves its hint in the original text.
-    """
-    out = out or column
-    masked = with_rewrites(df, column, out, map(mask_step, rules))
-    return masked.withColumn(out, finish(F.col(out)))
+    """Mask one column of a table."""
+    return df.withColumn(out or column, mask_text(F.col(column), rules))
 
 
 def count_tag(col: Column, tag: str) -> Column:

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.functions.rewrite import Step, with_rewrites
+from postsieve.functions.rewrite import Step, rewrite
 from postsieve.rules import phrase_rules as P
 
 def replace_controls(col: Column) -> Column:
@@ -116,11 +116,9 @@ def capture_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) ->
     )
 
 
-def with_clean_text(df: DataFrame, column: str, out: str, steps: list[Step]) -> DataFrame:
-    """Translate control characters, then apply ``steps`` to a long text."""
-    return with_rewrites(
-        df.withColumn(out, replace_controls(F.col(column))), out, out, steps
-    )
+def clean_text(col: Column, steps: list[Step]) -> Column:
+    """Translate control characters, then apply ``steps``."""
+    return rewrite(replace_controls(col), steps)
 
 
 def clean_mail(
@@ -129,7 +127,7 @@ def clean_mail(
 ) -> DataFrame:
     """Clean subject and body of mails; the body goes to ``out``."""
     df = df.withColumn(subject, clean_subject(F.col(subject)))
-    return with_clean_text(df, body, out, mail_steps(house, compat))
+    return df.withColumn(out, clean_text(F.col(body), mail_steps(house, compat)))
 
 
 def clean_capture(
@@ -137,4 +135,4 @@ def clean_capture(
     body: str = "rawbody", out: str = "body_clean",
 ) -> DataFrame:
     """Clean the text of scanned documents."""
-    return with_clean_text(df, body, out, capture_steps(house, compat))
+    return df.withColumn(out, clean_text(F.col(body), capture_steps(house, compat)))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -41,33 +41,50 @@ def apply_step(col: Column, step: Step) -> Column:
     return F.regexp_replace(col, F.lit(step.pattern), F.lit(step.replacement))
 
 
-def rewrite(col: Column, steps: Iterable[Step]) -> Column:
-    """All steps as one nested expression, for short columns."""
-    return reduce(apply_step, steps, col)
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used.
 
+    The lambda variable also keeps the expression linear in size when the
+    optimizer copies it, for instance below a filter.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def with_rewrites(df: DataFrame, column: str, out: str, steps: Iterable[Step]) -> DataFrame:
-    """All steps on a long text column, one projection per guarded step.
 
-    A projection whose input is used twice is not merged with the one below,
-    so every step is evaluated once and the chain stays one codegen stage.
-    """
+def rewrite(col: Column, steps: Iterable[Step]) -> Column:
+    """All steps in order; a step runs only on texts it can match."""
     steps = list(steps)
-    text = "__text"
     hints = list(dict.fromkeys(step.hint for step in steps if step.hint))
-    flag = {hint: f"__hint_{i}" for i, hint in enumerate(hints)}
-    df = df.select(
-        "*",
-        F.col(column).alias(text),
-        *[F.col(column).rlike(hint).alias(name) for hint, name in flag.items()],
-    )
-    for step in steps:
-        current = F.col(text)
-        changed = apply_step(current, step)
-        if step.hint:
-            changed = F.when(F.col(flag[step.hint]), changed).otherwise(current)
-        elif step.needs:
-            found = reduce(Column.__or__, (F.contains(current, F.lit(n)) for n in step.needs))
-            changed = F.when(found, changed).otherwise(current)
-        df = df.withColumn(text, changed)
-    return df.withColumn(out, F.col(text)).drop(text, *flag.values())
+
+    def guarded(step: Step, flags: Column | None) -> Callable[[Column], Column]:
+        def run(text: Column) -> Column:
+            if step.hint:
+                test = flags[hints.index(step.hint)]
+            else:
+                found = (F.contains(text, F.lit(n)) for n in step.needs)
+                test = reduce(Column.__or__, found)
+            return F.when(test, apply_step(text, step)).otherwise(text)
+
+        return run
+
+    def chain(text: Column, flags: Column | None) -> Column:
+        for step in steps:
+            if step.hint or step.needs:
+                text = bind(text, guarded(step, flags))
+            else:
+                text = apply_step(text, step)
+        return text
+
+    if not hints:
+        return chain(col, None)
+    return bind(col, lambda text: bind(
+        F.array(*[text.rlike(hint) for hint in hints]), lambda flags: chain(text, flags)
+    ))
+
+
+def evaluated_once(col: Column) -> Column:
+    """The same value, marked so that no filter above is pushed below it.
+
+    For filters on a costly column, which the optimizer would otherwise
+    compute a second time for the pushed-down filter.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, col)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postsieve.functions.rewrite import evaluated_once
 from postsieve.rules.domains import EXCLUDED_SUBJECTS, PRIVATE_DOMAINS
 from postsieve.rules.mask_rules import FAILED_TEXT
 from postsieve.rules.phrase_rules import TRIM_TAG
@@ -52,8 +53,9 @@ def keep_complete(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def drop_failed(df: DataFrame, column: str = "body_clean") -> DataFrame:
-    """Rows that were masked."""
-    return df.filter(~F.contains(F.col(column), F.lit(FAILED_TEXT)))
+    """Rows that were masked; the text is masked once, not again by the filter."""
+    df = df.withColumn(column, evaluated_once(F.col(column)))
+    return df.filter(~is_failed(column))
 
 
 def is_failed(column: str = "body_clean") -> Column:

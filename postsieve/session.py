@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: settings the operators rely on or profit from
 SETTINGS = {
@@ -52,3 +52,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer tasks than cores, dealt out to all cores.
+
+    For text work after the scan of one small file.  A scan that already
+    keeps every core busy stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
