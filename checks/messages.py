@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import Context, query
 from postsieve.functions import headers as H
+from postsieve.session import spread
 from postsieve.sources.messages import (
     header_fields,
     message_errors,
@@ -45,7 +46,7 @@ MESSAGE = (
 
 def raw_messages(ctx: Context):
     """(mid, content) with one message per order."""
-    return ctx("orders").select(
+    return spread(ctx("orders")).select(
         F.format_string("m%012d", "o_orderkey").alias("mid"), F.expr(MESSAGE).alias("content")
     )
 
@@ -61,7 +62,7 @@ _SUBJECT = "concat(case when o_orderkey % 5 = 0 then 'Grüße ' else 'Vertrag '
 _FILES = (
     "case o_orderkey % 3 when 0 then 'msg-part-00000001.txt' "
     "when 1 then 'msg-part-00000001.txt|vertrag.pdf|msg-part-00000003.bin' "
-    "else 'msg-part-00000001.txt|msg-part-00000002.txt|bild.png' end"
+    "else 'msg-part-00000001.txt|msg-part-00000002.html|bild.png' end"
 )
 _GOOD = "from {orders} where o_orderkey % 19 <> 0"
 _SPECIFIC = "case o_orderkey % 3 when 0 then '' when 1 then 'vertrag.pdf' else 'bild.png' end"

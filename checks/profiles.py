@@ -51,9 +51,12 @@ def a2(ctx: Context):
     return profiling.pages_by_type(_docs(ctx))
 
 
-@query("a3_value_counts", "select sender, count(*) as count from {fx_mail} where sender is not null group by sender")
+@query(
+    "a3_value_counts",
+    f"select pagecount, count(*) as count from {_DOCS} where pagecount is not null group by pagecount",
+)
 def a3(ctx: Context):
-    return profiling.value_counts(ctx("fx_mail"), "sender")
+    return profiling.value_counts(_docs(ctx), "pagecount")
 
 
 @query("a3_value_counts_with_nulls", "select encoding, count(*) as count from {fx_mail} group by encoding")

@@ -29,7 +29,7 @@ def load_containers(
     )
     name = F.col("_metadata.file_name")
     return files.select(
-        "*", name.alias("file_name"), file_sequence(name, first).alias("file_seq"),
+        "*", F.col("_metadata.file_path").alias("path"), name.alias("file_name"), file_sequence(name, first).alias("file_seq"),
         F.col("_metadata.row_index").alias("row_seq"),
     )
 
