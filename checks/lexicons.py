@@ -116,7 +116,7 @@ def n3_joined(ctx: Context):
 @query(
     "n1_mask_spans",
     "select doc_key, concat(case when doc_key % 3 = 0 then concat('<PER>', substr(text, 6, 3)) else substr(text, 1, 8) end, "
-    "'<LOC>', substr(text, 13, 7), '<ORG>', substr(text, 26)) as masked from {fx_pii}",
+    "'<LOC>', substr(text, 13, 8), '<ORG>', substr(text, 26)) as masked from {fx_pii}",
 )
 def n1(ctx: Context):
     spans = F.expr(

@@ -5,11 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: ASCII punctuation and the usual typographic marks, as a regex class body
-PUNCTUATION = r"""!-/:-@\[-`{-~„“”‚‘’«»…–—"""
+from postsieve.functions.rewrite import bind
 
-#: a chunk from its first to its last non-punctuation character, or one mark
-TOKEN_PATTERN = rf"[^\s{PUNCTUATION}](?:\S*[^\s{PUNCTUATION}])?|[{PUNCTUATION}]"
+#: ASCII punctuation and the usual typographic marks
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~„“”‚‘’«»…–—"
+
+
+def chunks(text: Column) -> Column:
+    """White-space separated pieces; an empty one stands at a blank end."""
+    return F.split(text, F.lit(r"(?U)\s+"))
+
+
+def _core(chunk: Column) -> Column:
+    return F.btrim(chunk, F.lit(PUNCTUATION))
+
+
+def _peel(chunk: Column) -> Column:
+    """Marks in front, core and marks behind as separate tokens."""
+
+    def split_at(core: Column) -> Column:
+        begin = F.instr(chunk, core)
+        marks_behind = F.substring(chunk, begin + F.length(core), F.length(chunk))
+        return (
+            F.when(core == chunk, F.array(chunk))
+            .when(core == "", F.split(chunk, F.lit("")))
+            .otherwise(F.concat(
+                F.split(F.substring(chunk, F.lit(1), begin - 1), F.lit("")),
+                F.array(core),
+                F.split(marks_behind, F.lit("")),
+            ))
+        )
+
+    return bind(_core(chunk), split_at)
 
 
 def tokens(text: Column) -> Column:
@@ -18,15 +45,14 @@ def tokens(text: Column) -> Column:
     Peeled marks are tokens of their own; marks inside a chunk stay, so that an
     address or URL is one token.
     """
-    return F.regexp_extract_all(text, F.lit("(?U)" + TOKEN_PATTERN), F.lit(0))
+    return F.filter(F.flatten(F.transform(chunks(text), _peel)), lambda t: t != "")
 
 
 def words(text: Column) -> Column:
     """Tokens without punctuation marks."""
-    pattern = rf"(?U)[^\s{PUNCTUATION}](?:\S*[^\s{PUNCTUATION}])?"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.filter(F.transform(chunks(text), _core), lambda t: t != "")
 
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words."""
-    return F.size(F.filter(F.split(text, F.lit(r"(?U)\s+")), lambda w: w != ""))
+    return F.size(F.filter(chunks(text), lambda w: w != ""))

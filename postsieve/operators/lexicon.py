@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postsieve.functions.rewrite import evaluated_once
 from postsieve.functions.tokens import tokens, words
 from postsieve.operators.lookup import MAX_BROADCAST_ROWS, collect_if_small
 
@@ -216,8 +217,8 @@ def flag_listed(
     df: DataFrame, column: str, blocklist: DataFrame, key: str, out: str = "blocked",
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Whether any upper-cased token of ``column`` is in ``blocklist(token)``."""
-    upper = F.transform(tokens(F.col(column)), F.upper)
+    """Whether any upper-cased word of ``column`` is in ``blocklist(token)``."""
+    upper = F.transform(words(F.col(column)), F.upper)
     small = collect_if_small(blocklist.select("token"), max_rows)
     if small is not None:
         checked = _any_batches(small)(F.coalesce(upper, F.array().cast("array<string>")))
@@ -237,6 +238,10 @@ def drop_listed(
     df: DataFrame, column: str, blocklist: DataFrame, key: str,
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows without any listed token; a null text is kept."""
+    """Rows without any listed token; a null text is kept.
+
+    The check stays where it is called, behind the cheap filters before it.
+    """
     flagged = flag_listed(df, column, blocklist, key, "__blocked", max_rows)
+    flagged = flagged.withColumn("__blocked", evaluated_once(F.col("__blocked")))
     return flagged.filter(~F.col("__blocked")).drop("__blocked")
