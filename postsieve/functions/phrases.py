@@ -12,7 +12,7 @@ from postsieve.rules import phrase_rules as P
 
 def replace_controls(col: Column) -> Column:
     """Carriage return, tab, line feed and no-break space become a space."""
-    return F.translate(col, P.CONTROL_CHARACTERS, " " * len(P.CONTROL_CHARACTERS))
+    return F.regexp_replace(col, F.lit(f"[{P.CONTROL_CHARACTERS}]"), F.lit(" "))
 
 
 def replace_rulers(col: Column) -> Column:
@@ -55,13 +55,41 @@ def reply_steps(house: P.HouseTerms = P.HouseTerms()) -> list[Step]:
     return [Step("(?d)" + pattern, P.TRIM_TAG, needs=(f" schrieb {house.mailbox}:",))]
 
 
+def _order_matters(earlier: str, later: str) -> bool:
+    """Whether ``later`` can begin in front of ``earlier`` and overlap it.
+
+    Only then does replacing one phrase after the other differ from replacing
+    whichever comes first in the text.
+    """
+    return any(
+        later[i:].startswith(earlier) or earlier.startswith(later[i:])
+        for i in range(1, len(later))
+    )
+
+
+def _one_pass(phrases: tuple[str, ...], tag: str) -> Step:
+    first = "".join(re.escape(c) for c in dict.fromkeys(p[0] for p in phrases))
+    return Step(f"(?=[{first}])(?:{'|'.join(map(re.escape, phrases))})", tag)
+
+
 def _phrase_steps(phrases: tuple[str, ...], tag: str, compat: bool) -> list[Step]:
-    if compat:
+    if not compat:
+        # longest first: no phrase is cut short by another one, and no tag
+        # just written is matched again
+        return [_one_pass(tuple(sorted(set(phrases), key=lambda p: (-len(p), p))), tag)]
+    retagged = tuple(p for p in phrases if p in tag)
+    others = tuple(p for p in phrases if p not in tag)
+    pairs = [(a, b) for i, a in enumerate(phrases) for b in phrases[i + 1:]]
+    if any(_order_matters(a, b) for a, b in pairs) or len(retagged) > 1 or (
+        retagged and (phrases[-1] != retagged[0] or any(retagged[0] in p for p in others))
+    ):
         return [Step(phrase, tag, literal=True) for phrase in phrases]
-    # one alternation, longest first: no phrase is cut short by another one
-    # and no tag just written is matched again
-    ordered = tuple(sorted(set(phrases), key=lambda p: (-len(p), p)))
-    return [Step("|".join(map(re.escape, ordered)), tag, needs=ordered)]
+    # same result as phrase after phrase, in one pass over the text; a phrase
+    # that is part of the tag comes last in the list, so it tags the tags of
+    # all others a second time
+    steps = [Step(retagged[0], tag, literal=True)] if retagged else []
+    twice = tag.replace(retagged[0], tag) if retagged else tag
+    return [*steps, _one_pass(others, twice)]
 
 
 def salutation_steps(

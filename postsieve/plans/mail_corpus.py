@@ -14,6 +14,7 @@ from postsieve.operators.lexicon import drop_listed
 from postsieve.operators.tables import drop_columns
 from postsieve.rules.phrase_rules import MAX_CHARS, HouseTerms
 from postsieve.schemas import CONTAINER_EXTRAS, MAIL_CORPUS_COLUMNS
+from postsieve.sources.sinks import save_stage
 
 
 def select_mails(
@@ -53,12 +54,19 @@ def build_mail_corpus(
     container: DataFrame, blocklist: DataFrame | None = None,
     senders: DataFrame | None = None, house: HouseTerms = HouseTerms(),
     max_chars: int | None = MAX_CHARS, other_charsets: bool = True,
-    order: tuple[str, ...] = ("file_seq", "row_seq"),
+    order: tuple[str, ...] = ("file_seq", "row_seq"), stages: str | None = None,
 ) -> DataFrame:
-    """The whole build as one lazy plan."""
-    mails = decode_mails(
-        select_mails(container, blocklist, senders, order), other_charsets
-    )
+    """The whole build as one lazy plan.
+
+    With a folder in ``stages`` the selected and the decoded mails are written
+    there, and each later step starts from the table.
+    """
+    mails = select_mails(container, blocklist, senders, order)
+    if stages:
+        mails = save_stage(mails, stages, "selected")
+    mails = decode_mails(mails, other_charsets)
+    if stages:
+        mails = save_stage(mails, stages, "decoded")
     mails = mails.drop("body").withColumnRenamed("body_dc", "body")
     return anonymise_mails(mails, house, max_chars).select(
         *[f"`{c}`" for c in MAIL_CORPUS_COLUMNS]

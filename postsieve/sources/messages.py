@@ -142,8 +142,12 @@ def to_container(parsed: DataFrame, attachments: bool = True) -> DataFrame:
 def read_message_batch(
     messages: DataFrame, nbr: int | str = "all", attachments: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Container and error list of the first ``nbr`` messages by id, or of all."""
+    """Container and error list of the first ``nbr`` messages by id, or of all.
+
+    The ids are sorted alone; contents are read for the chosen ids only.
+    """
     if nbr != "all":
-        messages = messages.orderBy("mid").limit(int(nbr))
+        chosen = messages.select("mid").orderBy("mid").limit(int(nbr))
+        messages = messages.join(chosen, "mid", "left_semi")
     parsed = parse_messages(messages, attachments)
     return to_container(parsed, attachments), message_errors(parsed)
