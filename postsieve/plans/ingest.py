@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postsieve.operators.archive import archive_mails, explode_fields, first_body
+from postsieve.operators.archive import bodies_in_row, first_body
 from postsieve.sources.files import scan_archives, scan_messages
 from postsieve.sources.messages import read_message_batch
 
@@ -30,4 +30,4 @@ def ingest_archives(
         if all_bodies:
             raise ValueError("all_bodies needs the enclosing elements in wrappers")
         return first_body(archives)
-    return archive_mails(explode_fields(archives, wrappers=wrappers), all_bodies=all_bodies)
+    return bodies_in_row(archives, wrappers=wrappers, all_bodies=all_bodies)

@@ -140,10 +140,12 @@ def test_archives(spark):
     df = spark.createDataFrame(archives, "file string, xml string")
     expected = {("two", "q", "y", "B1", "S<1"), ("shared", "p", "d", "B3", "S<3")}
     fields = archive.explode_fields(df, wrappers=("G",))
-    for result in (archive.first_body(df), archive.archive_mails(fields)):
+    in_row = archive.bodies_in_row(df, wrappers=("G",))
+    for result in (archive.first_body(df), archive.archive_mails(fields), in_row):
         rows = result.select("file", "process_id", "doc_id", "body", "subject").collect()
         assert set(map(tuple, rows)) == expected
     everything = archive.archive_mails(fields, all_bodies=True)
+    assert everything.exceptAll(archive.bodies_in_row(df, wrappers=("G",), all_bodies=True)).count() == 0
     assert sorted(r.body or "" for r in everything.collect()) == ["", "B1", "B2", "B3"]
     assert everything.filter("channel is not null").count() == 0
 
