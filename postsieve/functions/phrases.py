@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.functions.rewrite import Step, rewrite
+from postsieve.functions.rewrite import Group, Step, rewrite
 from postsieve.rules import phrase_rules as P
 
 def replace_controls(col: Column) -> Column:
@@ -30,12 +30,12 @@ def truncate(col: Column, max_chars: int | None = P.MAX_CHARS) -> Column:
     return col if max_chars is None else F.substring(col, 1, max_chars)
 
 
-def ruler_steps() -> list[Step]:
+def ruler_steps() -> list[Step | Group]:
     """Runs of ruler characters, see :func:`replace_rulers`."""
     return [Step(P.RULER_PATTERN, " ")]
 
 
-def title_steps(compat: bool = True) -> list[Step]:
+def title_steps(compat: bool = True) -> list[Step | Group]:
     """Academic titles.
 
     ``compat`` treats the titles as regexes, so a dot stands for any character
@@ -43,13 +43,14 @@ def title_steps(compat: bool = True) -> list[Step]:
     are literal, longest first, and leave one space.
     """
     if compat:
-        return [
+        steps = tuple(
             Step("(?d)" + title, "", needs=(title.split(".")[0],)) for title in P.TITLES
-        ]
+        )
+        return [Group("(?=[DMP])(?:Dr|Prof|Mag|Dipl|Ph)", steps)]
     return [Step(t, " ", literal=True) for t in sorted(P.TITLES, key=len, reverse=True)]
 
 
-def reply_steps(house: P.HouseTerms = P.HouseTerms()) -> list[Step]:
+def reply_steps(house: P.HouseTerms = P.HouseTerms()) -> list[Step | Group]:
     """Cut a quoted reply that follows the own mailbox's reply header."""
     pattern = P.REPLY_PATTERN.format(mailbox=re.escape(house.mailbox))
     return [Step("(?d)" + pattern, P.TRIM_TAG, needs=(f" schrieb {house.mailbox}:",))]
@@ -72,7 +73,7 @@ def _one_pass(phrases: tuple[str, ...], tag: str) -> Step:
     return Step(f"(?=[{first}])(?:{'|'.join(map(re.escape, phrases))})", tag)
 
 
-def _phrase_steps(phrases: tuple[str, ...], tag: str, compat: bool) -> list[Step]:
+def _phrase_steps(phrases: tuple[str, ...], tag: str, compat: bool) -> list[Step | Group]:
     if not compat:
         # longest first: no phrase is cut short by another one, and no tag
         # just written is matched again
@@ -94,7 +95,7 @@ def _phrase_steps(phrases: tuple[str, ...], tag: str, compat: bool) -> list[Step
 
 def salutation_steps(
     house: P.HouseTerms = P.HouseTerms(), compat: bool = True
-) -> list[Step]:
+) -> list[Step | Group]:
     """Salutations become one tag."""
     phrases = tuple(
         p.format(team=house.team, contact=house.contact) for p in P.SALUTATIONS
@@ -102,7 +103,7 @@ def salutation_steps(
     return _phrase_steps(phrases, P.SALUTATION_TAG, compat)
 
 
-def closing_steps(compat: bool = True) -> list[Step]:
+def closing_steps(compat: bool = True) -> list[Step | Group]:
     """Closing formulas become one tag.
 
     With ``compat`` the last phrase also hits the tags just written, so that
@@ -111,7 +112,7 @@ def closing_steps(compat: bool = True) -> list[Step]:
     return _phrase_steps(P.CLOSINGS, P.CLOSING_TAG, compat)
 
 
-def footer_steps() -> list[Step]:
+def footer_steps() -> list[Step | Group]:
     """Device and app footers, from their first to their last word."""
     needs = (("iese Nachricht wurde ",), ("esendet mit ",), (" gesendet",))
     return [
@@ -120,7 +121,7 @@ def footer_steps() -> list[Step]:
     ]
 
 
-def organisation_steps(house: P.HouseTerms = P.HouseTerms()) -> list[Step]:
+def organisation_steps(house: P.HouseTerms = P.HouseTerms()) -> list[Step | Group]:
     """Byte-order marks vanish, the own full name becomes a tag."""
     return [
         Step(P.BYTE_ORDER_MARK, "", literal=True),
@@ -128,7 +129,7 @@ def organisation_steps(house: P.HouseTerms = P.HouseTerms()) -> list[Step]:
     ]
 
 
-def mail_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) -> list[Step]:
+def mail_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) -> list[Step | Group]:
     """All steps for mail bodies, after control characters are translated."""
     return (
         ruler_steps() + title_steps(compat) + reply_steps(house)
@@ -136,7 +137,7 @@ def mail_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) -> lis
     )
 
 
-def capture_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) -> list[Step]:
+def capture_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) -> list[Step | Group]:
     """All steps for scanned documents: no reply cut, own name tagged."""
     return (
         ruler_steps() + organisation_steps(house) + title_steps(compat)
@@ -144,7 +145,7 @@ def capture_steps(house: P.HouseTerms = P.HouseTerms(), compat: bool = True) ->
     )
 
 
-def clean_text(col: Column, steps: list[Step]) -> Column:
+def clean_text(col: Column, steps: list[Step | Group]) -> Column:
     """Translate control characters, then apply ``steps``."""
     return rewrite(replace_controls(col), steps)
 

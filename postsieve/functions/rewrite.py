@@ -25,6 +25,13 @@ class Step(NamedTuple):
     hint: str = ""
 
 
+class Group(NamedTuple):
+    """Steps that only texts with a match of ``test`` (Java regex) run at all."""
+
+    test: str
+    steps: tuple[Step, ...]
+
+
 def java_pattern(pattern: str, dotall: bool = False) -> str:
     """Add the flags under which Java matches like Python on any text.
 
@@ -50,25 +57,34 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def rewrite(col: Column, steps: Iterable[Step]) -> Column:
+def rewrite(col: Column, steps: Iterable[Step | Group]) -> Column:
     """All steps in order; a step runs only on texts it can match."""
     steps = list(steps)
-    hints = list(dict.fromkeys(step.hint for step in steps if step.hint))
+    hints = list(dict.fromkeys(
+        step.hint for step in steps if isinstance(step, Step) and step.hint
+    ))
 
     def guarded(step: Step, flags: Column | None) -> Callable[[Column], Column]:
         def run(text: Column) -> Column:
-            if step.hint:
-                test = flags[hints.index(step.hint)]
-            else:
+            tests = [flags[hints.index(step.hint)]] if step.hint else []
+            if step.needs:
                 found = (F.contains(text, F.lit(n)) for n in step.needs)
-                test = reduce(Column.__or__, found)
+                tests.append(reduce(Column.__or__, found))
+            test = reduce(Column.__and__, tests)
             return F.when(test, apply_step(text, step)).otherwise(text)
 
         return run
 
+    def grouped(group: Group) -> Callable[[Column], Column]:
+        return lambda text: F.when(
+            text.rlike(group.test), rewrite(text, group.steps)
+        ).otherwise(text)
+
     def chain(text: Column, flags: Column | None) -> Column:
         for step in steps:
-            if step.hint or step.needs:
+            if isinstance(step, Group):
+                text = bind(text, grouped(step))
+            elif step.hint or step.needs:
                 text = bind(text, guarded(step, flags))
             else:
                 text = apply_step(text, step)

@@ -35,9 +35,9 @@ CAPITAL_RUN = r"[A-Z][A-Z\d]{6}"
 
 # Patterns, tags and their order decide the result.
 INTRO = MaskRule("intro", r"Page 1.*Betreff:", "<INTRO> ", ("Betreff:",), dotall=True)
-IBAN = MaskRule("iban", r"\bDE(?:\d{2}(?: \d{4}){4} \d{2}|\d{20})\b", " <IBAN> ", ("DE",))
-LEASING_MANDATE = MaskRule("leasing_mandate", r"\bLC\d{4}X\d{8}\b", " <MREFLS> ", ("LC",))
-CREDIT_MANDATE = MaskRule("credit_mandate", r"\bCF\d{12}\b", " <MREFCR> ", ("CF",))
+IBAN = MaskRule("iban", r"\bDE(?:\d{2}(?: \d{4}){4} \d{2}|\d{20})\b", " <IBAN> ", ("DE",), hint=ANY_DIGIT)
+LEASING_MANDATE = MaskRule("leasing_mandate", r"\bLC\d{4}X\d{8}\b", " <MREFLS> ", ("LC",), hint=ANY_DIGIT)
+CREDIT_MANDATE = MaskRule("credit_mandate", r"\bCF\d{12}\b", " <MREFCR> ", ("CF",), hint=ANY_DIGIT)
 DATE = MaskRule(
     "date",
     r"\b(?:3[01]|[0-2]?\d)\.(?:0\d|1[0-2]|\d)\.(?:[12]\d{1,3}|[1-9]\d)\b",
@@ -47,7 +47,7 @@ DATE = MaskRule(
 IDENTITY_CARD = MaskRule(
     "identity_card", r"\b[CFGHJ-NPRTV-Z][CFGHJ-NPRTV-Z\d]{8}\b", " <PASSPORT> ", hint=CAPITAL_RUN
 )
-TAX_NUMBER = MaskRule("tax_number", r"\w{2}/\d{3}/\d{4,5}\b", " <TAXNBR> ", ("/",))
+TAX_NUMBER = MaskRule("tax_number", r"\w{2}/\d{3}/\d{4,5}\b", " <TAXNBR> ", ("/",), hint=ANY_DIGIT)
 TAX_ID = MaskRule(
     "tax_id", r"\b[1-9][0-9](?:\s\d{3}){3}\b|\b[1-9]\d{10}\b", " <TAXNBR> ", hint=ANY_DIGIT
 )
@@ -58,6 +58,7 @@ PHONE = MaskRule(
     r"[0-9]{1,7}(?:[ /-]?[0-9]{1,5})?\b",
     " <TELFAX> ",
     ("0", "+49"),
+    hint=ANY_DIGIT,
     starts="[0+(]",
 )
 EMAIL = MaskRule("email", r"\b[\w.+-]+@[\w-]+\.[a-zA-Z0-9.-]+\b", " <EMAIL> ", ("@",))
