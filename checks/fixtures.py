@@ -22,6 +22,8 @@ _MACROS = {
         "spark": "date_format({0}, 'dd-MM-yyyy')",
         "duckdb": "strftime({0}, '%d-%m-%Y')",
     },
+    # Spark gets the number itself, see the registry
+    "count": {"spark": "$rows({0})$", "duckdb": "(select count(*) from {0})"},
     "words": {
         "spark": "explode(split({0}, ' '))",
         "duckdb": "unnest(string_split({0}, ' '))",
@@ -149,8 +151,7 @@ FIXTURES = {
         "else cast(null as string) end as encoding, "
         "o.o_orderkey % 12 as file_seq, o.o_orderkey as row_seq "
         "from {orders} o join {customer} c on o.o_custkey = c.c_custkey "
-        "cross join (select count(*) as n from {documents}) s "
-        "join {fx_documents} d on d.doc_id = o.o_orderkey % s.n"
+        "join {fx_documents} d on d.doc_id = o.o_orderkey % $count(documents)$"
     ),
     "fx_index": (
         f"select {_pad(8, 'o_orderkey')} as doc_key, concat(case when o_orderkey % 7 = 0 then '﻿' else '' end, "
@@ -160,8 +161,7 @@ FIXTURES = {
     "fx_body": (
         f"select {_pad(8, 'o.o_orderkey')} as doc_key, concat('﻿', 'Muster Finanzdienste Musterbank GmbH ', "
         f"{_case('o.o_orderkey % 20', _SALUTATIONS)}, ' ', d.text, '\n', {_case('o.o_orderkey % 11', _CLOSINGS)}) as rawbody "
-        "from {orders} o cross join (select count(*) as n from {documents}) s "
-        "join {fx_documents} d on d.doc_id = o.o_orderkey % s.n where o.o_orderkey % 11 <> 0 "
+        "from {orders} o join {fx_documents} d on d.doc_id = o.o_orderkey % $count(documents)$ where o.o_orderkey % 11 <> 0 "
         f"union all select concat('X', {_pad(7, 'doc_id')}) as doc_key, text as rawbody from {{fx_documents}}"
     ),
     "fx_report": (

@@ -8,7 +8,7 @@ from checks import sql as Q
 from checks.registry import Context, query
 from postsieve.functions import phrases as P
 from postsieve.functions.rewrite import rewrite
-from postsieve.operators.filters import is_trimmed
+from postsieve.operators.filters import keep_trimmed
 
 
 def _body(expression: str) -> str:
@@ -91,4 +91,4 @@ def clean_mail_strict(ctx: Context):
 )
 def find_trimmed(ctx: Context):
     mails = P.clean_mail(ctx("fx_mail").select("row_seq", "subject", "body"))
-    return mails.filter(is_trimmed()).select("row_seq")
+    return keep_trimmed(mails).select("row_seq")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,10 @@ class Context:
     def __call__(self, name: str) -> DataFrame:
         if name not in self._known:
             if name in FIXTURES:
-                text = fixture_sql(name, "spark")
+                text = re.sub(
+                    r"\$rows\((\w+)\)\$", lambda m: str(self(m[1]).count()),
+                    fixture_sql(name, "spark"),
+                )
                 tables = {table: self(table) for table in inputs(text)}
                 if name in SPREAD:
                     tables[SPREAD[name]] = spread(tables[SPREAD[name]])

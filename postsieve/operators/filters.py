@@ -68,6 +68,12 @@ def is_trimmed(column: str = "body_clean") -> Column:
     return F.contains(F.col(column), F.lit(TRIM_TAG))
 
 
+def keep_trimmed(df: DataFrame, column: str = "body_clean") -> DataFrame:
+    """Rows whose quoted reply was cut off; the text is cleaned once."""
+    df = df.withColumn(column, evaluated_once(F.col(column)))
+    return df.filter(is_trimmed(column))
+
+
 def contains_any(col: Column, values: Sequence[str]) -> Column:
     """Whether the text holds any of a short list of substrings."""
     return reduce(Column.__or__, (F.contains(col, F.lit(v)) for v in values))
