@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions import headers as H
+from postsieve.functions.headers import GENERATED_NAME
 from postsieve.schemas import HEADER, MAIL_CONTAINER
 
 _PARSED = (
@@ -50,7 +51,7 @@ def _part_name(part: Message, number: int) -> str:
         extension = ".bin"
     elif "html" in kind:
         extension = ".html"
-    return f"{H.GENERATED_NAME}-{number:08d}{extension}"
+    return f"{GENERATED_NAME}-{number:08d}{extension}"
 
 
 def _attachment_names(message: Message) -> list[str]:
