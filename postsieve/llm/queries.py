@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postsieve.llm import bpe, mixing
 from postsieve.llm.base import table
 from postsieve.llm.chat import digests, format_chats
 from postsieve.llm.sharding import shard_documents
+from postsieve.llm.simhash import hex_digits, near_duplicates
+from postsieve.llm.sketch import edited_by_neighbour
 from postsieve.llm.top_k import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +31,33 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of the contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op1_mixing_sources")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document for source weights 5, 2, 1 in turn."""
+    out, _ = mixing.mix_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"), weights=(5, 2, 1))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op2_bpe_encoding_and_decoding")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of the text they decode to."""
+    return bpe.digests(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+
+
+@query("op3_simhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op4_chat_formatting", r"""
     with rows as (
         select conv_id, turn, role, coalesce(text, '') as text from conversations
@@ -61,6 +91,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(chats.unionByName(tricky)))
 
 
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited copy, and their likeness."""
+    return edited_by_neighbour(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op8_exact_top_k", """
     with ints as (
         select vec_id, row_number() over () as r,
