@@ -14,6 +14,7 @@ from postsieve.llm.sharding import shard_documents
 from postsieve.llm.simhash import hex_digits, near_duplicates
 from postsieve.llm.sketch import edited_by_neighbour
 from postsieve.llm.top_k import top_k
+from postsieve.llm.toxicity import with_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,6 +122,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=20, divisor=20)
 
 
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = with_toxicity(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes."""
