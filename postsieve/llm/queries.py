@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import bpe, mixing
+from postsieve.llm import bpe, mixing, substring
 from postsieve.llm.base import table
 from postsieve.llm.chat import digests, format_chats
 from postsieve.llm.sharding import shard_documents
@@ -92,6 +92,36 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(chats.unionByName(tricky)))
 
 
+@query("op5_substring_dedup", r"""
+    with d as (
+        select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
+    ),
+    windows as (
+        select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) as h from d, unnest(range(1, len(w) - 18)) t(i)
+    ),
+    late as (
+        select doc_id, i from windows
+        qualify row_number() over (partition by h order by doc_id, i) > 1
+    ),
+    words as (
+        select d.doc_id, p, w[p] as word,
+            max(late.i is not null) over (partition by d.doc_id order by p rows between 19 preceding and current row) as gone
+        from d cross join unnest(range(1, len(w) + 1)) t(p) left join late on late.doc_id = d.doc_id and late.i = p
+    ),
+    kept as (
+        select doc_id, count(*) filter (gone) as n_removed,
+            coalesce(string_agg(word, ' ' order by p) filter (not gone), '') as kept
+        from words group by doc_id
+    )
+    select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+        sha256(coalesce(kept, '')) as kept_sha256
+    from d left join kept using (doc_id)
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without windows that occur earlier."""
+    return substring.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited copy, and their likeness."""
