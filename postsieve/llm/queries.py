@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postsieve.llm import bpe, mixing, substring
+from postsieve.llm import bpe, mixing, substring, suffix
 from postsieve.llm.base import table
 from postsieve.llm.chat import digests, format_chats
 from postsieve.llm.sharding import shard_documents
@@ -128,6 +128,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_by_neighbour(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op7_suffix_array_dedup", """
+    with d as (
+        select doc_id, octet_length(encode(coalesce(text, ''))) as n, hex(encode(coalesce(text, ''))) as x from documents
+    ),
+    windows as (
+        select doc_id, i, md5_number(substr(x, 2 * i - 1, 800)) as h from d, unnest(range(1, n - 398)) t(i)
+    ),
+    again as (select doc_id, i from windows qualify count(*) over (partition by h) > 1),
+    covered as (
+        select doc_id, i, least(i + 399, n) as last,
+            max(i + 399) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as before
+        from again join d using (doc_id)
+    ),
+    starts as (
+        select doc_id, i, last, sum((before is null or i > before + 1)::int) over (partition by doc_id order by i) as run
+        from covered
+    ),
+    spans as (select doc_id, run, min(i) as a, max(last) as b from starts group by doc_id, run),
+    gaps as (
+        select doc_id, b + 1 as a, lead(a) over (partition by doc_id order by a) as next from spans
+        union all select doc_id, 1, min(a) from spans group by doc_id
+    ),
+    kept as (
+        select doc_id, string_agg(substr(x, 2 * a - 1, 2 * (coalesce(next, n + 1) - a)), '' order by a) as y
+        from gaps join d using (doc_id) group by doc_id
+    ),
+    counts as (select doc_id, sum(b - a + 1) as removed, count(*) as spans from spans group by doc_id)
+    select doc_id, n::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
+        sha256(unhex(coalesce(y, case when removed is null then x else '' end))) as kept_sha256
+    from d left join counts using (doc_id) left join kept using (doc_id)
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without runs of 400 that occur anywhere else."""
+    return suffix.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op8_exact_top_k", """
     with ints as (
         select vec_id, row_number() over () as r,
