@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 
 #: split of a text into words before the merges (fixed value of byte-level BPE)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: letters and white space of texts for which a pattern of plain ranges splits alike
+_LETTERS, _SPACE = "A-Za-zÀ-ÖØ-öø-ɏ", "\\t\\n\\r "
+_PLAIN = rf"[{_SPACE}!-~À-ÖØ-öø-ɏ]*"
+_PLAIN_PATTERN = rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^{_SPACE}0-9{_LETTERS}]+|\s+(?!\S)|\s+"
 #: words and arcs a worker keeps before it starts over
 MAX_KEPT = 400_000
 _SHIFT = 20
@@ -77,19 +81,31 @@ class Automaton:
         whole = self.arcs.get(word)
         if whole is not None:
             return [whole]
-        last, back = [-1] * (len(word) + 1), [0] * (len(word) + 1)
-        arcs, longest, step = self.arcs, self.longest, self.step
-        for stop in range(1, len(word) + 1):
-            for start in range(max(0, stop - longest), stop):
-                arc = arcs.get(word[start:stop])
-                if arc is not None and (not start or step(last[start], arc)):
-                    last[stop], back[stop] = arc, start
+        arcs, step, longest = self.arcs, self.step, self.longest
+        size, at = len(word), 0
+        out: list[int] = []
+        sizes: list[int] = []
+        dead: set[int] = set()  # places from which no path leads to the end
+        reach = min(size, longest)
+        while at < size:
+            while reach:
+                arc = arcs.get(word[at:at + reach])
+                if arc is not None and at + reach not in dead and (not out or step(out[-1], arc)):
                     break
-        out, at = [], len(word)
-        while at:
-            out.append(last[at])
-            at = back[at]
-        return out[::-1]
+                reach -= 1
+            if reach:
+                out.append(arc)
+                sizes.append(reach)
+                at += reach
+                reach = min(size - at, longest)
+            else:
+                # only one path leads to any place, so this one is of no use again
+                dead.add(at)
+                reach = sizes.pop()
+                at -= reach
+                out.pop()
+                reach -= 1
+        return out
 
 
 def compiled(path: str) -> Automaton:
@@ -147,20 +163,22 @@ class Bpe:
 
         @F.pandas_udf("binary")
         def run(texts: pd.Series) -> pd.Series:
+            import re
+
             import regex
 
-            machine, split = shared.value, regex.compile(PATTERN)
+            machine, split = shared.value, regex.compile(PATTERN).findall
+            is_plain, split_plain = re.compile(_PLAIN).fullmatch, re.compile(_PLAIN_PATTERN).findall
             stops = machine.special and regex.compile(
                 "|".join(map(regex.escape, sorted(machine.special, key=len, reverse=True))))
             words = machine.words
 
             def plain(part: str) -> bytes:
-                found = split.findall(part)
+                found = (split_plain if is_plain(part) else split)(part)
                 if len(words) > MAX_KEPT:
                     words.clear()
-                for word in found:
-                    if word not in words:
-                        words[word] = np.array(machine.read(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+                for word in set(found).difference(words):
+                    words[word] = np.array(machine.read(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
                 return b"".join(map(words.__getitem__, found))
 
             def one(content) -> bytes:
