@@ -63,7 +63,7 @@ def source_targets(
     )
     total = numbered.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     budget, rate, closed = share * total, 0.0, -1
-    while True:
+    while budget:
         above = F.col("weight") * rate > F.col("cap")
         got = numbered.agg(
             F.count(F.when(above, 1)), F.coalesce(F.sum(F.when(above, F.col("cap"))), F.lit(0)),
