@@ -84,11 +84,14 @@ def awards(targets: DataFrame, seats: int, n_shards: int) -> DataFrame:
     ``targets`` has source_no, target and blocks (of its own line); a source
     gets at most ``most`` blocks.  Ties go to the first source.
     """
-    known = targets.agg(F.sum("target"), F.count("*")).first()
+    open_ = F.when(F.col("target") > 0, F.col("most"))
+    known = targets.agg(F.sum("target"), F.count("*"), F.sum(open_)).first()
     if not known[0] or not seats:
         return targets.select(F.lit(0).alias("shard"), "source_no", F.lit(0).cast("long").alias("blocks")).limit(0)
-    # a divisor so small that rounding gives every seat at least
-    low = known[0] / (seats + known[1])
+    # a divisor so small that rounding gives out every seat at least, or all there are
+    low, seats = known[0] / (seats + known[1]), min(seats, known[2])
+    while targets.agg(F.sum(F.least(open_, F.floor(F.col("target") / low + 0.5)))).first()[0] < seats:
+        low *= 0.8
     wanted = F.least(F.col("most"), F.floor(F.col("target") / low + 0.5) + 1)
     quotients = targets.select(
         "source_no", "target", F.explode(F.sequence(F.lit(0).cast("long"), wanted.cast("long"))).alias("k"), "most"

@@ -175,7 +175,7 @@ def test_sketches_merge_and_estimate():
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(int(i), [float(x) for x in rng.normal(size=6)]) for i in range(900)]
-    rows += [(20, rows[20][1]), (None, rows[3][1]), (1000, None), (1020, [1.0, None, 0, 0, 0, 0]),
+    rows += [(20, rows[20][1]), (None, rows[3][1]), (1000, None), (1020, [1.0, None, 0.0]),
              (1040, [float("nan")] * 6), (1060, [float("inf")] * 6), (1080, [1.0, 2.0]), (1101, [3.0, -1.0]), (1120, [])]
     rows += [(2000 + i, rows[40][1]) for i in range(50)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<double>, score string")
