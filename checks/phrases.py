@@ -45,7 +45,7 @@ def c8(ctx: Context):
 
 @query("c9_truncate", "select doc_id, substr(text, 1, 10000) as cleaned from {documents}")
 def c9(ctx: Context):
-    return ctx("documents").select("doc_id", P.truncate(F.col("text")).alias("cleaned"))
+    return ctx("documents").select("doc_id", P.truncate(F.col("text"), P.P.MAX_CHARS).alias("cleaned"))
 
 
 @query("c_clean_subject", f"select row_seq, {Q.subject('subject')} as cleaned from {{fx_mail}}")

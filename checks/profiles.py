@@ -48,7 +48,7 @@ def a1(ctx: Context):
     f"from {_DOCS} group by doctype order by pcount desc, doctype limit 20",
 )
 def a2(ctx: Context):
-    return profiling.pages_by_type(_docs(ctx))
+    return profiling.pages_by_type(_docs(ctx), top=20)
 
 
 @query(

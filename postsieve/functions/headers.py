@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postsieve.functions.charset import decode_body
+
 #: attachment count of mails whose attachments were not read
 NOT_READ = 999
 #: part of every generated attachment name
@@ -48,10 +50,36 @@ def known_encoding(encoding: Column) -> Column:
     return F.coalesce(encoding, F.lit(UNKNOWN_ENCODING))
 
 
-def decode_subject(subject: Column) -> Column:
-    """First fragment of an encoded UTF-8 base64 subject; others unchanged."""
-    pattern = r"(?i)^=\?utf-8\?b\?([A-Za-z0-9+/=]*)\?="
-    payload = F.regexp_extract(subject, pattern, 1)
-    return F.when(
-        subject.rlike(pattern), F.decode(F.unbase64(payload), "utf-8")
-    ).otherwise(subject)
+# An encoded word: charset, B or Q, payload.
+_WORD = r"=\?([^?\s]+)\?([bBqQ])\?([^?]*)\?="
+
+
+def _quoted_bytes(payload: Column) -> Column:
+    """Bytes of a Q payload: underscores are spaces, ``=XX`` is a byte."""
+    units = F.regexp_extract_all(F.replace(payload, F.lit("_"), F.lit(" ")), F.lit("(=[0-9A-Fa-f]{2}|(?s:.))"), F.lit(1))
+    digits = F.transform(units, lambda u: F.when(u.rlike("^=[0-9A-Fa-f]{2}$"), F.substring(u, 2, 2)).otherwise(
+        F.hex(u.cast("binary"))))
+    return F.unhex(F.array_join(digits, ""))
+
+
+def decode_subject(subject: Column, first_only: bool = False) -> Column:
+    """Subject with its encoded words decoded, plain parts in between unchanged.
+
+    White space between two encoded words goes.  A word whose charset is
+    unknown or whose payload is malformed stays as it is; malformed bytes go.
+    ``first_only`` keeps the first fragment of a subject that begins encoded.
+    """
+    close = F.regexp_replace(subject, r"\?=\s+(?==\?[^?\s]+\?[bBqQ]\?[^?]*\?=)", "?=")
+    pieces = F.regexp_extract_all(close, F.lit(rf"({_WORD}|(?s:.)+?(?={_WORD}|$))"), F.lit(1))
+
+    def decoded(piece: Column) -> Column:
+        charset, payload = F.regexp_extract(piece, _WORD, 1), F.regexp_extract(piece, _WORD, 3)
+        data = F.when(F.lower(F.regexp_extract(piece, _WORD, 2)) == "b", F.try_to_binary(payload, F.lit("base64"))).otherwise(
+            _quoted_bytes(payload))
+        text = decode_body(data, charset, other_charsets=False)
+        return F.when(piece.rlike(f"^{_WORD}$"), F.coalesce(text, piece)).otherwise(piece)
+
+    encoded = F.transform(pieces, decoded)
+    if first_only:
+        encoded = F.when(subject.rlike(f"^{_WORD}"), F.slice(encoded, 1, 1)).otherwise(encoded)
+    return F.when(subject.contains("=?"), F.array_join(encoded, "")).otherwise(subject)

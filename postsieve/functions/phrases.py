@@ -25,7 +25,7 @@ def clean_subject(col: Column) -> Column:
     return replace_rulers(replace_controls(col))
 
 
-def truncate(col: Column, max_chars: int | None = P.MAX_CHARS) -> Column:
+def truncate(col: Column, max_chars: int | None = None) -> Column:
     """Keep the first ``max_chars`` characters; ``None`` keeps all."""
     return col if max_chars is None else F.substring(col, 1, max_chars)
 

@@ -46,13 +46,7 @@ def _entries(df: DataFrame, column: str, named: bool, right_trim: bool) -> DataF
     out = df.select(value.alias("token")).filter(F.col("token").isNotNull())
     if named:
         out = out.filter(F.length("token") >= MIN_NAME_LENGTH)
-    return out.select(F.upper("token").alias("token")).distinct()
-
-
-def _without(df: DataFrame, *others: DataFrame) -> DataFrame:
-    for other in others:
-        df = df.join(other, "token", "left_anti")
-    return df
+    return out.select(F.upper("token").alias("token"))
 
 
 def build_lexicon(
@@ -64,39 +58,45 @@ def build_lexicon(
     ``gazetteers`` maps the keys of ``GAZETTEERS`` to one-column tables.  The
     overlaps go in a fixed order: surnames lose the stop words; first names
     lose surnames, cities and stop words; cities lose surnames, the remaining
-    first names and stop words; postcodes lose the remaining cities.
+    first names and stop words; postcodes lose the remaining cities.  An
+    overlap concerns one token only, so one aggregate by token settles all.
     """
     named = ("first_name", "surname", "city", "street")
-    sets = {
-        key: _entries(df, column, key in named, key == "city")
+    parts = [
+        _entries(df, column, key in named, key == "city").withColumn("source", F.lit(key))
         for key, df in gazetteers.items()
-    }
-    stops = [_entries(df, column, named=False, right_trim=False) for df in stop_words]
-
-    def get(*keys: str) -> list[DataFrame]:
-        return [sets[key] for key in keys if key in sets]
-
-    for key, others in (
-        ("surname", ()),
-        ("first_name", ("surname", "city")),
-        ("city", ("surname", "first_name")),
-    ):
-        if key in sets:
-            sets[key] = _without(sets[key], *get(*others), *stops)
-    if "postcode" in sets:
-        sets["postcode"] = _without(sets["postcode"], *get("city"))
-
-    lexicon = None
-    for key, df in sets.items():
+    ] + [
+        _entries(df, column, named=False, right_trim=False).withColumn("source", F.lit("stop"))
+        for df in stop_words
+    ]
+    if not gazetteers:
+        raise ValueError("no gazetteer given")
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    sets = (*gazetteers, "stop")
+    found = every.groupBy("token").agg(*[F.bool_or(F.col("source") == key).alias(key) for key in sets])
+    kept = {key: F.col(key) for key in sets}
+
+    def without(key: str, *others: str) -> None:
+        if key in kept:
+            for other in others:
+                if other in kept:
+                    kept[key] = kept[key] & ~kept[other]
+
+    without("surname", "stop")
+    without("first_name", "surname", "city", "stop")
+    without("city", "surname", "first_name", "stop")
+    without("postcode", "city")
+    entries = []
+    for key in gazetteers:
         tag, priority = GAZETTEERS[key]
         low, high = TOKEN_LENGTHS.get(key, (0, 1 << 30))
-        part = df.select(
-            "token", F.lit(key).alias("source"), F.lit(tag).alias("tag"),
-            F.lit(priority).alias("priority"), F.lit(low).alias("min_len"),
-            F.lit(high).alias("max_len"),
-        )
-        lexicon = part if lexicon is None else lexicon.unionByName(part)
-    return lexicon
+        entries.append(F.when(kept[key], F.struct(
+            F.lit(key).alias("source"), F.lit(tag).alias("tag"), F.lit(priority).alias("priority"),
+            F.lit(low).alias("min_len"), F.lit(high).alias("max_len"),
+        )))
+    return found.select("token", F.inline(F.array_compact(F.array(*entries))))
 
 
 def lexicon_sizes(lexicon: DataFrame) -> DataFrame:
@@ -145,10 +145,13 @@ def tag_tokens(
 ) -> DataFrame:
     """Replace tokens found in ``tag_table(token, tag)`` by their tag.
 
-    Tokens are joined by one space; ``punctuation=False`` drops marks.  ``key``
-    names a unique column, used only if the table is too large to copy.
+    Tokens are joined by one space; ``punctuation=False`` drops marks; of
+    several tags of a token the smallest counts.  A table of more than
+    ``max_rows`` rows is joined, with the same result: hits go back to their
+    texts by checksum, so ``key`` may be null or repeated.
     """
     out = out or column
+    tag_table = tag_table.groupBy("token").agg(F.min("tag").alias("tag"))
     split = tokens if punctuation else words
     df = df.withColumn("__tokens", split(F.col(column)))
     upper = F.transform("__tokens", F.upper)
@@ -159,19 +162,20 @@ def tag_tokens(
             out, _join_tags(F.col("__tokens"), F.col("__tags"))
         ).drop("__tokens", "__tags")
 
+    df = df.withColumn("__id", F.md5(F.col(column).cast("binary")))
+    texts = df.dropDuplicates(["__id"]).select("__id", F.explode(F.array_distinct(upper)).alias("token"))
     hits = (
-        df.select(key, F.explode(F.array_distinct(upper)).alias("token"))
-        .join(tag_table.select("token", "tag"), "token")
-        .groupBy(key)
+        texts.join(tag_table, "token")
+        .groupBy("__id")
         .agg(F.map_from_entries(F.collect_list(F.struct("token", "tag"))).alias("__hits"))
     )
     tag_list = F.transform("__tokens", lambda t: F.col("__hits")[F.upper(t)])
     return (
-        df.join(hits, key, "left")
+        df.join(hits, "__id", "left")
         .withColumn(out, F.when(
             F.col("__hits").isNull(), F.array_join("__tokens", " ")
         ).otherwise(_join_tags(F.col("__tokens"), tag_list)))
-        .drop("__tokens", "__hits")
+        .drop("__tokens", "__hits", "__id")
     )
 
 
@@ -224,14 +228,15 @@ def flag_listed(
         checked = _any_batches(small)(F.coalesce(upper, F.array().cast("array<string>")))
         return df.withColumn(out, checked)
 
+    df = df.withColumn("__id", F.md5(F.col(column).cast("binary")))
     hits = (
-        df.select(key, F.explode(F.array_distinct(upper)).alias("token"))
+        df.select("__id", F.explode(F.array_distinct(upper)).alias("token"))
         .join(blocklist.select("token"), "token", "left_semi")
-        .select(key)
+        .select("__id")
         .distinct()
         .withColumn(out, F.lit(True))
     )
-    return df.join(hits, key, "left").withColumn(out, F.coalesce(out, F.lit(False)))
+    return df.join(hits, "__id", "left").withColumn(out, F.coalesce(out, F.lit(False))).drop("__id")
 
 
 def drop_listed(

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from postsieve.session import shared_folder
 
-#: largest slice end taken by a top-k sort; later slices are numbered
-MAX_TOP_ROWS = 100_000
-
-
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """The first ``n`` rows of an order; each task keeps ``n`` rows at most."""
     return df.orderBy(*order).limit(n)
@@ -45,8 +41,6 @@ def number_rows(df: DataFrame, *order: Column, out: str = "row_nr") -> DataFrame
 
 def slice_rows(df: DataFrame, start: int, stop: int, *order: Column) -> DataFrame:
     """Rows ``start`` to ``stop`` of a total order, end excluded."""
-    if stop <= MAX_TOP_ROWS:
-        return df.orderBy(*order).offset(start).limit(stop - start)
     numbered = number_rows(df, *order, out="__nr")
     return numbered.filter(F.col("__nr").between(start, stop - 1)).drop("__nr")
 

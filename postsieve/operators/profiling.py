@@ -73,7 +73,7 @@ def describe_words(
 
 
 def pages_by_type(
-    df: DataFrame, key: str = "doctype", pages: str = "pagecount", top: int | None = 20
+    df: DataFrame, key: str = "doctype", pages: str = "pagecount", top: int | None = None
 ) -> DataFrame:
     """Documents and pages per type, most pages first.
 

@@ -10,9 +10,9 @@ from postsieve.functions.phrases import clean_mail, truncate
 from postsieve.operators.decoding import drop_undecoded, with_decoded_body, with_proposal
 from postsieve.operators.dedup import keep_first
 from postsieve.operators.filters import drop_senders, drop_subjects
-from postsieve.operators.lexicon import drop_listed
+from postsieve.operators.lexicon import drop_listed, mask_gazetteers
 from postsieve.operators.tables import drop_columns
-from postsieve.rules.phrase_rules import MAX_CHARS, HouseTerms
+from postsieve.rules.phrase_rules import HouseTerms
 from postsieve.schemas import CONTAINER_EXTRAS, MAIL_CORPUS_COLUMNS
 from postsieve.sources.sinks import save_stage
 
@@ -40,23 +40,32 @@ def decode_mails(mails: DataFrame, other_charsets: bool = True) -> DataFrame:
 
 
 def anonymise_mails(
-    mails: DataFrame, house: HouseTerms = HouseTerms(), max_chars: int | None = MAX_CHARS,
-    compat: bool = True,
+    mails: DataFrame, house: HouseTerms = HouseTerms(), max_chars: int | None = None,
+    compat: bool = True, lexicon: DataFrame | None = None, key: str = "message_id",
 ) -> DataFrame:
-    """Truncate, clean and mask mails with text ``body``."""
-    mails = mails.withColumn("body", truncate(F.col("body"), max_chars))
+    """Clean and mask mails with text ``body``; tag names and places; truncate if asked to."""
     mails = clean_mail(mails, house, compat)
-    mails = mails.withColumn("subject", mask_text(F.col("subject")))
-    return with_masked_text(mails, "body_clean")
+    mails = with_masked_text(mails.withColumn("subject", mask_text(F.col("subject"))), "body_clean")
+    if lexicon is not None:
+        for column in ("subject", "body_clean"):
+            mails = mask_gazetteers(mails, column, lexicon, key)
+    return mails.withColumn("body_clean", truncate(F.col("body_clean"), max_chars))
+
+
+def undecoded_mails(mails: DataFrame, other_charsets: bool = True) -> DataFrame:
+    """Selected mails whose body no charset decodes: what :func:`decode_mails` drops."""
+    decoded = with_decoded_body(with_proposal(mails), other_charsets=other_charsets)
+    return decoded.filter(F.col("body_dc").isNull() & F.col("body").isNotNull()).drop("body_dc")
 
 
 def build_mail_corpus(
     container: DataFrame, blocklist: DataFrame | None = None,
     senders: DataFrame | None = None, house: HouseTerms = HouseTerms(),
-    max_chars: int | None = MAX_CHARS, other_charsets: bool = True,
+    max_chars: int | None = None, other_charsets: bool = True,
     order: tuple[str, ...] = ("file_seq", "row_seq"), stages: str | None = None,
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole build as one lazy plan.
+    """The whole build as one lazy plan; :func:`undecoded_mails` lists what it loses.
 
     With a folder in ``stages`` the selected and the decoded mails are written
     there, and each later step starts from the table.
@@ -68,6 +77,6 @@ def build_mail_corpus(
     if stages:
         mails = save_stage(mails, stages, "decoded")
     mails = mails.drop("body").withColumnRenamed("body_dc", "body")
-    return anonymise_mails(mails, house, max_chars).select(
+    return anonymise_mails(mails, house, max_chars, lexicon=lexicon).select(
         *[f"`{c}`" for c in MAIL_CORPUS_COLUMNS]
     )

@@ -32,12 +32,13 @@ _local_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``.  Only a local
-    session without that setting gets a temporary folder of its own.
+    It is the one the cluster names in ``spark.checkpoint.dir``, or the one
+    set on the context.  Only a local session without either gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir"
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     )
     if not folder:
         if not context.master.startswith("local"):
@@ -45,7 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
         if context.applicationId not in _local_folders:
             _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="postsieve-")
         folder = _local_folders[context.applicationId]
-    context.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import email
 import mimetypes
 from collections.abc import Iterator
-from email.header import decode_header
+from email.header import decode_header, make_header
 from email.message import Message
 
 import pandas as pd
@@ -39,19 +39,20 @@ def _first_part(message: Message) -> bytes | None:
     return message.get_payload(decode=True)
 
 
+def _extension(kind: str) -> str:
+    """HTML and other text by rule, everything else by the system's guess."""
+    group, _, subtype = kind.partition("/")
+    if "html" in subtype:
+        return ".html"
+    return ".txt" if "text" in (group, subtype) else mimetypes.guess_extension(kind) or ".bin"
+
+
 def _part_name(part: Message, number: int) -> str:
     name = part.get_filename()
     if name:
         return name
     kind = part.get_content_type()
-    extension = mimetypes.guess_extension(kind)
-    if "text" in kind:
-        extension = ".txt"
-    if not extension:
-        extension = ".bin"
-    elif "html" in kind:
-        extension = ".html"
-    return f"{GENERATED_NAME}-{number:08d}{extension}"
+    return f"{GENERATED_NAME}-{number:08d}{_extension(kind)}"
 
 
 def _attachment_names(message: Message) -> list[str]:
@@ -62,11 +63,12 @@ def _attachment_names(message: Message) -> list[str]:
 def _parse(mid: str, content: bytes, attachments: bool) -> dict:
     message = email.message_from_bytes(content)
     raw_subject = message["subject"]
-    fragment, encoding = decode_header(raw_subject)[0]
-    if encoding:
-        subject = fragment.decode(encoding)
-    else:
-        subject = fragment.decode("ascii", "replace") if isinstance(fragment, bytes) else fragment
+    fragments = decode_header(raw_subject)
+    encoding = fragments[0][1]
+    subject = str(make_header([
+        (text.decode("ascii", "replace"), None) if isinstance(text, bytes) and not charset else (text, charset)
+        for text, charset in fragments
+    ]))
     # the sender's own clock: the offset is dropped, not converted
     sent = date_parser.parse(message["date"]).replace(tzinfo=None)
     return {

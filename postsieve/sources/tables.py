@@ -46,11 +46,15 @@ def load_counts(container: DataFrame, order: str = "file_nr") -> DataFrame:
     return running_total(counts, order, "added")
 
 
+# Characters of a header name that are replaced or dropped.
+_NAME_CHARACTERS = str.maketrans({" ": "_", "\u00a0": None})
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
-    """Header names: strip, space to underscore, upper case, no-break space out."""
-    return df.toDF(*[
-        c.strip().replace(" ", "_").upper().replace("\u00a0", "") for c in df.columns
-    ])
+    """Upper-case header names without outer white space (no-break spaces included);
+    inner spaces become underscores, inner no-break spaces go."""
+    names = (name.strip().translate(_NAME_CHARACTERS) for name in df.columns)
+    return df.toDF(*(name.upper() for name in names))
 
 
 def read_report(
@@ -59,13 +63,18 @@ def read_report(
 ) -> DataFrame:
     """A delimited report with normalised header names.
 
-    All columns are text unless ``schema`` types them, which saves the extra
-    pass of type inference.
+    All columns are text unless ``schema`` types them.  Its names are matched
+    with the header's, whatever the order of the file; a name the header lacks
+    is an error, columns the schema lacks are left out.
     """
-    reader = spark.read.option("sep", sep).option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return normalize_names(reader.csv(path))
+    report = normalize_names(spark.read.option("sep", sep).option("header", True).csv(path))
+    if schema is None:
+        return report
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    missing = [f.name for f in fields if f.name.upper() not in report.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return report.select(*[F.col(f"`{f.name.upper()}`").cast(f.dataType).alias(f.name.upper()) for f in fields])
 
 
 def load_blocklist(spark: SparkSession, path: str, column: str = "kommunikation") -> DataFrame:

@@ -24,8 +24,15 @@ def stream_containers(
     )
 
 
-def drop_repeats(mails: DataFrame, delay: str = "7 days") -> DataFrame:
-    """Each message id once; ids older than ``delay`` leave the state."""
+def drop_repeats(mails: DataFrame, delay: str | None = None) -> DataFrame:
+    """Each message id once.
+
+    Ids stay in the state for good, so no mail is too late.  With ``delay`` the
+    state is bounded: ids older than that leave it, and mails dated further
+    back than the newest one are dropped.
+    """
+    if delay is None:
+        return mails.dropDuplicates(["message_id"])
     sent = sent_timestamp(mails["date"], mails["time"])
     return (
         mails.withColumn("sent", sent)

@@ -74,7 +74,9 @@ def test_tokens(one):
 
 
 def test_headers(one):
-    assert one("=?utf-8?B?R3LDvMOfZQ==?= =?utf-8?B?eA==?=", H.decode_subject) == "Grüße"
+    both = "=?utf-8?B?R3LDvMOfZQ==?= =?utf-8?B?eA==?="
+    assert one(both, H.decode_subject) == "Grüßex"
+    assert one(both, lambda c: H.decode_subject(c, first_only=True)) == "Grüße"
     assert one("ohne", H.decode_subject) == "ohne"
     assert one(None, H.known_encoding) == "unknown"
     assert one("abc", lambda c: H.message_id(F.lit("01-02-2020"), F.lit("10:11:12"), c)) == "01-02-2020_10:11:12_3"

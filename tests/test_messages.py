@@ -2,6 +2,8 @@
 
 from email.message import EmailMessage
 
+from pyspark.sql import functions as F
+
 from postsieve.plans.ingest import ingest_archives, ingest_messages
 from postsieve.schemas import MAIL_CONTAINER
 from postsieve.sources.files import scan_messages
@@ -76,6 +78,50 @@ def test_archive_files(spark, tmp_path):
         assert [(r.doc_id, r.body, r.subject) for r in rows] == [("d", "B", None)] * 2
 
 
+def test_archives_keep_their_charset(spark, tmp_path):
+    from postsieve.sources.files import archive_errors, scan_archives
+
+    xml = '<?xml version="1.0" encoding="{}"?><S><F Value="Grüße"/></S>'
+    for name, charset in (("a", "iso-8859-1"), ("b", "utf-8"), ("c", "windows-1252")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "Export.xml").write_bytes(xml.format(charset).encode(charset))
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "Export.xml").write_text("<S><F></S>")
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "Export.xml").write_text(xml.format("no-such-charset"))
+    archives = scan_archives(spark, str(tmp_path))
+    found = {r.file.rsplit("/", 2)[1]: r.xml for r in archives.collect()}
+    assert all("Grüße" in found[k] for k in "abc") and found["e"] is None
+    errors = {r.path.rsplit("/", 2)[1]: r.error for r in archive_errors(archives).collect()}
+    assert errors == {"d": "not well-formed", "e": "unknown charset"}
+
+
+def test_subjects_keep_every_fragment(spark):
+    from email.header import decode_header, make_header
+
+    from postsieve.functions.headers import decode_subject
+
+    subjects = ["=?utf-8?B?R3LDvMOfZQ==?= an alle", "=?UTF-8?b?R3LDvA==?=\r\n =?utf-8?q?=C3=9Fe_an?= alle",
+                "Re: =?iso-8859-1?Q?Gr=FC=DFe?=", "plain = ?text?", "", None]
+    broken = ["=?utf-8?B?###?= x", "=?no-such?Q?a?= b"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate([*subjects, *broken])], "i int, s string")
+    got = {r.i: r.s for r in df.select("i", decode_subject(F.col("s")).alias("s")).collect()}
+    expected = [None if s is None else str(make_header(decode_header(s))) for s in subjects] + broken
+    assert [got[i] for i in range(len(expected))] == expected
+    first = df.select(decode_subject(F.col("s"), first_only=True).alias("s")).first()
+    assert first.s == "Grüße"
+
+
+def test_late_mails_stay(spark, tmp_path):
+    schema = "message_id string, date string, time string"
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for n, (i, date) in enumerate((("new", "20-07-2020"), ("old", "01-01-2019"))):
+        spark.createDataFrame([(i, date, "10:00:00")], schema).write.mode("append").parquet(source)
+        stream = daily.drop_repeats(daily.stream_containers(spark, source, schema))
+        daily.append_new(stream, target, progress).awaitTermination()
+    assert sorted(r.message_id for r in spark.read.parquet(target).collect()) == ["new", "old"]
+
+
 def test_daily_files_are_taken_once(spark, tmp_path):
     schema = "message_id string, date string, time string"
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))

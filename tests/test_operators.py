@@ -48,6 +48,33 @@ def test_blocklist_both_ways(spark):
         assert sorted(r.id for r in kept.collect()) == [2, 3, 4]
 
 
+def test_lookups_do_not_depend_on_size(spark):
+    """Null and repeated keys, repeated texts, a token with two tags."""
+    rows = [(None, "Hans fragt"), (None, None), (1, "Hans fragt"), (1, "nichts"), (2, "BÖSE Hans hans"), (None, "böse")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    names = spark.createDataFrame([("HANS", "<VORNAME>"), ("HANS", "<A>")], "token string, tag string")
+    listed = spark.createDataFrame([("BÖSE",), ("BÖSE",)], "token string")
+    for function, table in ((lexicon.tag_tokens, names), (lexicon.flag_listed, listed)):
+        small, large = (Counter(map(tuple, function(df, "text", table, "id", max_rows=n).collect())) for n in (100, 0))
+        assert small == large and small.total() == len(rows)
+    tagged = lexicon.tag_tokens(df, "text", names, "id").filter("id = 2").first().text
+    assert tagged == "BÖSE <A> <A>"
+    kept = lexicon.drop_listed(df, "text", listed, "id", max_rows=0)
+    assert Counter(r.text for r in kept.collect()) == {"Hans fragt": 2, None: 1, "nichts": 1}
+
+
+def test_lexicon_is_one_aggregate(spark):
+    tables = {k: spark.createDataFrame([(w,) for w in v], "token string") for k, v in {
+        "postcode": ["12345", "BERN"], "first_name": ["Anna", "Bern", "Meier", "Auto"], "surname": ["Meier", "Auto"],
+        "city": ["Bern ", "Anna", "Meier", "Ulm"]}.items()}
+    stops = [spark.createDataFrame([("auto",)], "token string")]
+    got = lexicon.build_lexicon(tables, stops)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert {(r.token, r.source) for r in got.collect()} == {
+        ("12345", "postcode"), ("MEIER", "surname"), ("BERN", "city"), ("ANNA", "city")}
+
+
 def test_hot_token_and_size_check(spark):
     df = spark.range(3000).select("id", F.concat(F.lit("und der Hans "), F.col("id").cast("string")).alias("text"))
     names = spark.createDataFrame([("HANS", "<VORNAME>"), ("7", "<X>")], "token string, tag string")
@@ -106,13 +133,8 @@ def test_numbering_equals_sorting(spark):
     df = spark.range(500).select("id", (F.col("id") * 7919 % 10).alias("v"))
     numbered = ordering.number_rows(df, F.asc("v"), F.desc("id")).collect()
     assert [r.row_nr for r in sorted(numbered, key=lambda r: (r.v, -r.id))] == list(range(500))
-    small = ordering.slice_rows(df, 10, 20, F.asc("v"), F.desc("id"))
-    ordering.MAX_TOP_ROWS, limit = 5, ordering.MAX_TOP_ROWS
-    try:
-        large = ordering.slice_rows(df, 10, 20, F.asc("v"), F.desc("id"))
-        assert Counter(small.collect()) == Counter(large.collect())
-    finally:
-        ordering.MAX_TOP_ROWS = limit
+    part = ordering.slice_rows(df, 10, 20, F.asc("v"), F.desc("id")).collect()
+    assert Counter(part) == Counter(df.orderBy(F.asc("v"), F.desc("id")).offset(10).limit(10).collect())
 
 
 def test_sample_does_not_depend_on_partitions(spark):
