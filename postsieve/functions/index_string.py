@@ -97,13 +97,10 @@ def parse_positions(
 
 
 def parse_keys(df: DataFrame, column: str = "indexstring") -> DataFrame:
-    """Add the eight keyed columns and ``error``, true if one is missing."""
+    """Add the eight keyed columns and ``error``, true if one is missing or empty."""
     text = F.col(column)
     found = {
-        name: F.when(
-            text.rlike(java_pattern(pattern)),
-            F.regexp_extract(text, java_pattern(pattern), 1),
-        )
+        name: F.nullif(F.regexp_extract(text, java_pattern(pattern), 1), F.lit(""))
         for name, pattern in KEYED_PATTERNS.items()
     }
     for name in ("batchid", "docid", "pagecount", "doccount"):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from postsieve.operators.archive import bodies_in_row, first_body
-from postsieve.sources.files import scan_archives, scan_messages
+from postsieve.sources.files import archive_errors, scan_archives, scan_messages
 from postsieve.sources.messages import read_message_batch
 
 
@@ -19,8 +19,8 @@ def ingest_messages(
 def ingest_archives(
     spark: SparkSession, root: str, name: str = "Export.xml",
     wrappers: tuple[str, ...] | None = None, all_bodies: bool = False,
-) -> DataFrame:
-    """Mail bodies of the archives below ``root``.
+) -> tuple[DataFrame, DataFrame]:
+    """Mail bodies of the archives below ``root``, and the archives that cannot be read.
 
     With the elements that may enclose fields named in ``wrappers``, a file is
     parsed once; without, fields are found at any depth, first body only.
@@ -29,5 +29,5 @@ def ingest_archives(
     if wrappers is None:
         if all_bodies:
             raise ValueError("all_bodies needs the enclosing elements in wrappers")
-        return first_body(archives)
-    return bodies_in_row(archives, wrappers=wrappers, all_bodies=all_bodies)
+        return first_body(archives), archive_errors(archives)
+    return bodies_in_row(archives, wrappers=wrappers, all_bodies=all_bodies), archive_errors(archives)

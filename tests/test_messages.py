@@ -73,9 +73,12 @@ def test_archive_files(spark, tmp_path):
         (tmp_path / name).mkdir()
         (tmp_path / name / "Export.xml").write_text(xml)
         (tmp_path / name / "Export2.xml").write_text(xml)
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "Export.xml").write_text(xml[:-4])
     for wrappers in (None, ("GROUP",)):
-        rows = ingest_archives(spark, str(tmp_path), wrappers=wrappers).collect()
-        assert [(r.doc_id, r.body, r.subject) for r in rows] == [("d", "B", None)] * 2
+        bodies, errors = ingest_archives(spark, str(tmp_path), wrappers=wrappers)
+        assert [(r.doc_id, r.body, r.subject) for r in bodies.collect()] == [("d", "B", None)] * 2
+        assert [r.error for r in errors.collect()] == ["not well-formed"]
 
 
 def test_archives_keep_their_charset(spark, tmp_path):
