@@ -93,25 +93,33 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op5_substring_dedup", r"""
-    with d as (
+    with d as materialized (
         select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
     ),
-    windows as (
-        select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) as h from d, unnest(range(1, len(w) - 18)) t(i)
+    words as materialized (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from d),
+    places as (
+        select doc_id, p, word, sum(strlen(word) + 1) over (partition by doc_id order by p) as stop from words
     ),
-    late as (
-        select doc_id, i from windows
-        qualify row_number() over (partition by h order by doc_id, i) > 1
+    ranges as materialized (
+        select doc_id, p as i, (stop - strlen(word))::bigint as a,
+            lead(stop, 19) over (partition by doc_id order by p)::bigint - 1 as b
+        from places
     ),
-    words as (
-        select d.doc_id, p, w[p] as word,
-            max(late.i is not null) over (partition by d.doc_id order by p rows between 19 preceding and current row) as gone
-        from d cross join unnest(range(1, len(w) + 1)) t(p) left join late on late.doc_id = d.doc_id and late.i = p
+    joined as materialized (select doc_id, encode(array_to_string(w, ' ')) as x from d),
+    windows as materialized (
+        select doc_id, i, hash(array_slice(x, a, b)) as h from ranges join joined using (doc_id) where b is not null
+    ),
+    firsts as (select h, min((doc_id, i)) as first from windows group by h having count(*) > 1),
+    late as (select doc_id, i from windows join firsts using (h) where (doc_id, i) <> first),
+    marked as (
+        select words.doc_id, p, word, max(late.i is not null) over (
+            partition by words.doc_id order by p rows between 19 preceding and current row) as gone
+        from words left join late on late.doc_id = words.doc_id and late.i = p
     ),
     kept as (
         select doc_id, count(*) filter (gone) as n_removed,
             coalesce(string_agg(word, ' ' order by p) filter (not gone), '') as kept
-        from words group by doc_id
+        from marked group by doc_id
     )
     select d.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
         sha256(coalesce(kept, '')) as kept_sha256
@@ -129,13 +137,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op7_suffix_array_dedup", """
-    with d as (
-        select doc_id, octet_length(encode(coalesce(text, ''))) as n, hex(encode(coalesce(text, ''))) as x from documents
+    with d as materialized (
+        select doc_id, octet_length(encode(coalesce(text, ''))) as n, encode(coalesce(text, '')) as x from documents
     ),
-    windows as (
-        select doc_id, i, md5_number(substr(x, 2 * i - 1, 800)) as h from d, unnest(range(1, n - 398)) t(i)
+    windows as materialized (
+        select doc_id, i, hash(array_slice(x, i, i + 399)) as h from d, unnest(range(1, n - 398)) t(i)
     ),
-    again as (select doc_id, i from windows qualify count(*) over (partition by h) > 1),
+    repeated as (select h from windows group by h having count(*) > 1),
+    again as (select doc_id, i from windows join repeated using (h)),
     covered as (
         select doc_id, i, least(i + 399, n) as last,
             max(i + 399) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as before
@@ -151,12 +160,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         union all select doc_id, 1, min(a) from spans group by doc_id
     ),
     kept as (
-        select doc_id, string_agg(substr(x, 2 * a - 1, 2 * (coalesce(next, n + 1) - a)), '' order by a) as y
+        select doc_id, string_agg(hex(array_slice(x, a, coalesce(next, n + 1) - 1)), '' order by a) as y
         from gaps join d using (doc_id) group by doc_id
     ),
     counts as (select doc_id, sum(b - a + 1) as removed, count(*) as spans from spans group by doc_id)
     select doc_id, n::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans,
-        sha256(unhex(coalesce(y, case when removed is null then x else '' end))) as kept_sha256
+        sha256(case when removed is null then x else unhex(coalesce(y, '')) end) as kept_sha256
     from d left join counts using (doc_id) left join kept using (doc_id)
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
