@@ -40,11 +40,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it."""
-    coder = bpe.Bpe(spark, tokenizer_path())
-    encoded = docs.withColumn("ids", coder.encode(F.col("text")))
-    return encoded.select(
+    coded = bpe.round_trip(docs.select("doc_id", "text", "lang", "source", "n_chars"), tokenizer_path())
+    return coded.select(
         "doc_id", "lang", "source", "n_chars", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-        (coder.decode(F.col("ids")) == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
 

@@ -12,12 +12,15 @@ arcs looked up once are kept in full.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: split of a text into words before the merges (fixed value of byte-level BPE)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -26,7 +29,7 @@ _LETTERS, _SPACE = "A-Za-zÀ-ÖØ-öø-ɏ", "\\t\\n\\r "
 _PLAIN = rf"[{_SPACE}!-~À-ÖØ-öø-ɏ]*"
 _PLAIN_PATTERN = rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^{_SPACE}0-9{_LETTERS}]+|\s+(?!\S)|\s+"
 #: words and arcs a worker keeps before it starts over
-MAX_KEPT = 400_000
+MAX_KEPT = 200_000
 _SHIFT = 20
 
 
@@ -71,7 +74,7 @@ class Automaton:
         place = state << _SHIFT | arc
         known = self.seen.get(place)
         if known is None:
-            if len(self.seen) >= 4 * MAX_KEPT:
+            if len(self.seen) >= 2 * MAX_KEPT:
                 self.seen.clear()
             known = self.seen[place] = self.open(state, arc)
         return known
@@ -163,34 +166,7 @@ class Bpe:
 
         @F.pandas_udf("binary")
         def run(texts: pd.Series) -> pd.Series:
-            import re
-
-            import regex
-
-            machine, split = shared.value, regex.compile(PATTERN).findall
-            is_plain, split_plain = re.compile(_PLAIN).fullmatch, re.compile(_PLAIN_PATTERN).findall
-            stops = machine.special and regex.compile(
-                "|".join(map(regex.escape, sorted(machine.special, key=len, reverse=True))))
-            words = machine.words
-
-            def plain(part: str) -> bytes:
-                found = (split_plain if is_plain(part) else split)(part)
-                if len(words) > MAX_KEPT:
-                    words.clear()
-                for word in set(found).difference(words):
-                    words[word] = np.array(machine.read(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-                return b"".join(map(words.__getitem__, found))
-
-            def one(content) -> bytes:
-                if not content:
-                    return b""
-                out, at = [], 0
-                for hit in stops.finditer(content) if stops else ():
-                    out += [plain(content[at:hit.start()]), np.uint32(machine.special[hit[0]]).tobytes()]
-                    at = hit.end()
-                return b"".join([*out, plain(content[at:])])
-
-            return texts.map(one, na_action=None)
+            return texts.map(_encoder(shared.value), na_action=None)
 
         return run(text)
 
@@ -200,13 +176,49 @@ class Bpe:
 
         @F.pandas_udf("string")
         def run(encoded: pd.Series) -> pd.Series:
-            labels = shared.value.labels
-            return encoded.map(lambda x: b"".join(
-                map(labels.__getitem__, np.frombuffer(x or b"", "<u4").tolist())).decode("utf-8", "replace"))
+            return encoded.map(_decoder(shared.value), na_action=None)
 
         return run(ids)
 
 
+def _encoder(machine: Automaton):
+    """Function from text to the bytes of its ids."""
+    import re
+
+    import regex
+
+    split = regex.compile(PATTERN).findall
+    is_plain, split_plain = re.compile(_PLAIN).fullmatch, re.compile(_PLAIN_PATTERN).findall
+    stops = machine.special and regex.compile(
+        "|".join(map(regex.escape, sorted(machine.special, key=len, reverse=True))))
+    words = machine.words
+
+    def plain(part: str) -> bytes:
+        found = (split_plain if is_plain(part) else split)(part)
+        if len(words) > MAX_KEPT:
+            words.clear()
+        for word in set(found).difference(words):
+            words[word] = np.array(machine.read(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        return b"".join(map(words.__getitem__, found))
+
+    def one(content) -> bytes:
+        if not content:
+            return b""
+        out, at = [], 0
+        for hit in stops.finditer(content) if stops else ():
+            out += [plain(content[at:hit.start()]), np.uint32(machine.special[hit[0]]).tobytes()]
+            at = hit.end()
+        return b"".join([*out, plain(content[at:])])
+
+    return one
+
+
+def _decoder(machine: Automaton):
+    """Function from the bytes of ids to the text of their arc labels."""
+    label = machine.labels.__getitem__
+    return lambda ids: b"".join(map(label, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of a text column; a column named ``out`` is replaced.
 
@@ -216,12 +228,41 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str =
     return docs.withColumn(out, Bpe(docs.sparkSession, path).encode(F.col(text)))
 
 
+#: rows whose ids and texts a task holds at a time
+SLICE_ROWS = 256
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``, the text that the ids decode to.
+
+    Each text is encoded once; columns of these names are replaced.  Batches
+    are worked off in slices, so a task holds the ids of a few rows only.
+    """
+    shared = Bpe(docs.sparkSession, path)._shared
+    rest = [c for c in docs.columns if c not in ("ids", "decoded")]
+    schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("ids", T.BinaryType()),
+                           T.StructField("decoded", T.StringType())])
+
+    place = rest.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = _encoder(shared.value), _decoder(shared.value)
+        for batch in batches:
+            for start in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                ids = [encode(t.as_py()) for t in part.column(place)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(ids, pa.binary()), pa.array(map(decode, ids), pa.string())],
+                    names=[*rest, "ids", "decoded"])
+
+    return docs.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Number and checksum of the ids, and checksum of what they decode to."""
-    bpe = Bpe(docs.sparkSession, path)
-    encoded = docs.select(F.col(key), bpe.encode(F.col(text)).alias("__ids"))
-    return encoded.select(
-        key, F.floor(F.length("__ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2(F.col("__ids"), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("__ids")).cast("binary"), 256).alias("decoded_sha256"),
+    coded = round_trip(docs.select(key, text), path, text)
+    return coded.select(
+        key, F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
