@@ -1,16 +1,22 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of token blocks.
 
 The words of each source, documents in seeded order, form one line that is cut
-into blocks of equal length.  Blocks are awarded to sources by the highest
-quotients ``target / (2k + 1)``; the order of the awards gives every output
-shard an integer quota for each source.  Within a source a seeded permutation
-picks the blocks; after the last block it starts again with the first.
+into blocks of at most ``BLOCK`` words, equal to one word within a source.  The
+block is that small at every size of the corpus, so a source of a few words has
+blocks of its own size and reaches its target as a large one does.  Blocks are
+awarded to sources by the highest quotients ``target / (2k + 1)``; the order of
+the awards gives every output shard an integer quota for each source.  Seats
+follow from the quotient of the last award in closed form, whatever their
+number.  Within a source a seeded permutation picks the blocks; after the last
+block it starts again with the first.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,22 +24,24 @@ from pyspark.sql import functions as F
 from postsieve.llm.base import staged, word_count
 from postsieve.operators.ordering import number_rows
 
-#: the corpus is cut into at most about this many blocks, so the award table has a fixed bound
-MAX_BLOCKS = 1 << 19
-#: words of the smallest block
-MIN_BLOCK = 16
+#: words of a block at most
+BLOCK = 16
 #: rows of a source that one task lays out
 BUCKET_ROWS = 4096
-#: a prime above every number of blocks, so that its multiples permute them
-STRIDE = 1_000_003
+#: primes: multiples of the first that does not divide a number of blocks permute them
+STRIDES = (2_147_483_647, 1_000_003, 999_983)
+#: quotients about the last of a shard that are ranked one by one
+RANKED = 1024
+#: quotients tried for each shard in one pass over the sources
+TRIED = 7
 
 
 @dataclass(frozen=True)
 class Mix:
-    """One row per source, blocks per shard and source, and the words of a block.
+    """One row per source, blocks per shard and source, and the words of a block at most.
 
     ``sources``: source, source_no, source_size, rows, target, blocks, seats,
-    buckets, shift.  ``quotas``: shard, source_no, blocks.
+    buckets, shift, stride, and how many blocks are longer than short by a word.  ``quotas``: shard, source_no, blocks.
     """
 
     sources: DataFrame
@@ -78,55 +86,134 @@ def source_targets(
     return targets, total
 
 
+def _won(quotient: Column) -> Column:
+    """How many quotients of a source are at least ``quotient``; exact in doubles."""
+    near = F.floor(F.least(F.col("target") / (2 * quotient) + 0.5, F.col("most") + F.lit(1.0)))
+    won = (
+        F.when(F.col("target") / (2 * near + 1) >= quotient, near + 1)
+        .when((near > 0) & (F.col("target") / (2 * near - 1) < quotient), near - 1).otherwise(near)
+    )
+    return F.least(F.col("most"), won).cast("long")
+
+
+def _between(low: float, high: float, n: int) -> list[float]:
+    """Up to ``n`` doubles inside the range, evenly spread over its representable values."""
+    a, b = (int(np.float64(x).view(np.int64)) for x in (low, high))
+    places = {a + (b - a) * i // (n + 1) for i in range(1, n + 1)} - {a, b}
+    return [float(np.int64(x).view(np.float64)) for x in sorted(places)]
+
+
+def _brackets(targets: DataFrame, ranks: list[int], counts: dict[float, int]) -> dict[int, tuple[float, float]]:
+    """For each rank two quotients: fewer than ``rank`` reach the high one, so many at least the low one.
+
+    ``counts`` has the number of quotients that reach some, and is added to.
+    Every pass is one small aggregate.  A range is closed when few quotients
+    are left in it, or only equal ones.
+    """
+    while True:
+        known = sorted(counts)
+        tried: set[float] = set()
+        found = {}
+        for rank in ranks:
+            high = bisect_left(known, True, key=lambda q: counts[q] < rank)
+            found[rank] = known[high - 1], known[high]
+            if counts[known[high - 1]] - counts[known[high]] > RANKED:
+                tried.update(_between(*found[rank], TRIED))
+        if not tried:
+            return found
+        each = targets.select("target", "most", F.explode(F.array(*map(F.lit, sorted(tried)))).alias("quotient"))
+        for row in each.groupBy("quotient").agg(F.sum(_won(F.col("quotient"))).alias("n")).collect():
+            counts[row["quotient"]] = row["n"]
+
+
 def awards(targets: DataFrame, seats: int, n_shards: int) -> DataFrame:
     """Blocks of each shard and source: the ``seats`` highest quotients, in order.
 
     ``targets`` has source_no, target and blocks (of its own line); a source
-    gets at most ``most`` blocks.  Ties go to the first source.
+    gets at most ``most`` blocks.  Ties go to the first source.  What a source
+    has won up to the end of a shard is counted from the last quotient there;
+    only the quotients next to that one are ranked.
     """
-    open_ = F.when(F.col("target") > 0, F.col("most"))
-    known = targets.agg(F.sum("target"), F.count("*"), F.sum(open_)).first()
-    if not known[0] or not seats:
+    open_ = targets.filter((F.col("target") > 0) & (F.col("most") > 0)).select("source_no", "target", "most")
+    known = open_.agg(F.max("target"), F.min(F.col("target") / (2 * F.col("most") - 1)), F.sum("most")).first()
+    seats = min(seats, known[2] or 0)
+    if not seats:
         return targets.select(F.lit(0).alias("shard"), "source_no", F.lit(0).cast("long").alias("blocks")).limit(0)
-    # a divisor so small that rounding gives out every seat at least, or all there are
-    low, seats = known[0] / (seats + known[1]), min(seats, known[2])
-    while targets.agg(F.sum(F.least(open_, F.floor(F.col("target") / low + 0.5)))).first()[0] < seats:
-        low *= 0.8
-    wanted = F.least(F.col("most"), F.floor(F.col("target") / low + 0.5) + 1)
-    quotients = targets.select(
-        "source_no", "target", F.explode(F.sequence(F.lit(0).cast("long"), wanted.cast("long"))).alias("k"), "most"
-    ).filter("k < most").select("source_no", (F.col("target") / (2 * F.col("k") + 1)).alias("quotient"))
-    ranked = number_rows(quotients, F.desc("quotient"), "source_no", out="rank").filter(F.col("rank") < seats)
-    shard = F.floor(F.col("rank") * n_shards / seats).cast("int")
-    return ranked.groupBy(shard.alias("shard"), "source_no").agg(F.count("*").alias("blocks"))
+    ranks = [-(-(shard + 1) * seats // n_shards) for shard in range(n_shards)]
+    counts = {known[1]: known[2], 2 * known[0]: 0}
+    brackets = _brackets(open_, ranks, counts)
+    ends, ranked = [], 0
+    for shard, rank in enumerate(ranks):
+        low, high = brackets[rank]
+        ends.append(F.struct(F.lit(shard).alias("shard"), F.lit(low).alias("low"), F.lit(high).alias("high"),
+                             F.lit(ranked).cast("long").alias("ranked"),
+                             F.lit(rank - counts[high]).cast("long").alias("open")))
+        ranked += counts[low] - counts[high]
+    each = open_.select("source_no", "target", "most", F.inline(F.array(*ends))).withColumn("sure", _won(F.col("high")))
+    near = each.withColumn("most", _won(F.col("low"))).filter("most > sure").select(
+        "shard", "source_no", "target", "ranked", "open",
+        F.explode(F.sequence(F.col("sure"), F.col("most") - 1)).alias("k"),
+    ).withColumn("quotient", F.col("target") / (2 * F.col("k") + 1))
+    last = number_rows(near, F.asc("shard"), F.desc("quotient"), F.asc("source_no"), out="rank").filter(
+        F.col("rank") - F.col("ranked") < F.col("open"))
+    more = last.groupBy("shard", "source_no").agg(F.count("*").alias("more"))
+    won = each.join(more, ["shard", "source_no"], "left").select(
+        "shard", "source_no", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("won"))
+    before = F.lag("won", 1, 0).over(Window.partitionBy("source_no").orderBy("shard"))
+    return won.select("shard", "source_no", (F.col("won") - before).alias("blocks")).filter("blocks > 0")
 
 
 def plan_mix(
     records: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2,
     n_shards: int = 64, seed: int = 0,
 ) -> Mix:
-    """Targets, quotas and block length for records with source and size."""
-    targets, total = source_targets(records, weights, share, passes)
-    block = max(MIN_BLOCK, -(-total // MAX_BLOCKS))
-    seats = round(share * total / block)
-    blocks = F.ceil(F.col("source_size") / block)
-    lined = targets.withColumn("line", blocks.cast("long")).withColumn("most", F.col("line") * passes)
-    quotas = staged(awards(lined, seats, n_shards), "quotas")
+    """Targets, quotas and blocks for records with source and size.
+
+    A target counts in blocks of its own source, so that blocks of different
+    length weigh what they hold.
+    """
+    targets, _ = source_targets(records, weights, share, passes)
+    blocks = F.ceil(F.col("source_size") / BLOCK).cast("long")
+    lined = targets.withColumn("line", blocks).withColumn("most", F.col("line") * passes)
+    wanted = lined.filter("line > 0").select(
+        "source_no", (F.col("target") * F.col("line") / F.col("source_size")).alias("target"), "most")
+    seats = round(wanted.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0])
+    quotas = staged(awards(wanted, seats, n_shards), "quotas")
     seated = quotas.groupBy("source_no").agg(F.sum("blocks").alias("seats"))
+    line = F.greatest(F.col("line"), F.lit(1))
+    stride = F.lit(STRIDES[2])
+    for prime in STRIDES[1::-1]:
+        fits = F.col("line") % prime != 0
+        stride = F.when(fits & (F.col("line") < prime) if prime == STRIDES[0] else fits, prime).otherwise(stride)
     sources = lined.join(seated, "source_no", "left").select(
         "source", "source_no", "source_size", "rows", "target", F.col("line").alias("blocks"),
         F.coalesce("seats", F.lit(0)).cast("long").alias("seats"),
         F.ceil(F.col("rows") / BUCKET_ROWS).cast("long").alias("buckets"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("source_no")), F.greatest(F.col("line"), F.lit(1))).alias("shift"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col("source_no")), line).alias("shift"),
+        stride.cast("long").alias("stride"),
+        F.floor(F.col("source_size") / line).alias("short"), F.pmod("source_size", line).alias("longer"),
     )
-    return Mix(staged(sources, "mix"), quotas, block, passes)
+    return Mix(staged(sources, "mix"), quotas, BLOCK, passes)
 
 
 def _times(block_no: Column) -> Column:
     """How often the mix takes a block: its place in the permutation, once more per pass."""
-    place = F.pmod(block_no * STRIDE + F.col("__m.shift"), F.greatest(F.col("__m.blocks"), F.lit(1)))
-    gap = F.col("__m.seats") - place
-    return F.greatest(F.lit(0), F.ceil(gap / F.greatest(F.col("__m.blocks"), F.lit(1)))).cast("long")
+    blocks = F.greatest(F.col("__m.blocks"), F.lit(1))
+    place = F.pmod(block_no * F.col("__m.stride") + F.col("__m.shift"), blocks)
+    return F.greatest(F.lit(0), F.ceil((F.col("__m.seats") - place) / blocks)).cast("long")
+
+
+def _first_word(block_no: Column) -> Column:
+    """Where a block begins: the first ``longer`` blocks of a source have a word more than ``short``."""
+    return block_no * F.col("__m.short") + F.least(block_no, F.col("__m.longer"))
+
+
+def _block_of(word: Column) -> Column:
+    """The block that a word of a source is in."""
+    short = F.greatest(F.col("__m.short"), F.lit(1))
+    long_ones = F.col("__m.longer") * (F.col("__m.short") + 1)
+    return F.when(word < long_ones, F.floor(word / (short + 1))).otherwise(
+        F.col("__m.longer") + F.floor((word - long_ones) / short))
 
 
 def lay_out(records: DataFrame, mix: Mix, key: str, seed: int = 0) -> DataFrame:
@@ -138,7 +225,8 @@ def lay_out(records: DataFrame, mix: Mix, key: str, seed: int = 0) -> DataFrame:
     """
     mark = F.xxhash64(F.lit(seed), F.col(key), F.col("size"))
     plan = mix.sources.select(F.col("source").alias("__source"), F.struct(
-        "source_no", "source_size", "target", "blocks", "seats", "buckets", "shift").alias("__m"))
+        "source_no", "source_size", "target", "blocks", "seats", "buckets", "shift", "stride", "short", "longer",
+    ).alias("__m"))
     known = records.join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     dealt = (
         known.withColumn("__no", F.col("__m.source_no")).withColumn("__mark", mark)
@@ -152,7 +240,6 @@ def lay_out(records: DataFrame, mix: Mix, key: str, seed: int = 0) -> DataFrame:
     offsets = filled.select("__no", "__bucket", F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__offset"))
     inside = Window.partitionBy("__no", "__bucket").orderBy("__mark", key, "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    block = F.lit(mix.block).cast("long")
     placed = (
         dealt.withColumn("__within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(offsets, ["__no", "__bucket"])
@@ -160,8 +247,8 @@ def lay_out(records: DataFrame, mix: Mix, key: str, seed: int = 0) -> DataFrame:
     )
     start, stop = F.col("__start"), F.col("__start") + F.col("size")
     taken = F.aggregate(
-        F.sequence(F.floor(start / block), F.floor((stop - 1) / block)), F.lit(0).cast("long"),
-        lambda acc, j: acc + _times(j) * (F.least(stop, (j + 1) * block) - F.greatest(start, j * block)),
+        F.sequence(_block_of(start), _block_of(stop - 1)), F.lit(0).cast("long"),
+        lambda acc, j: acc + _times(j) * (F.least(stop, _first_word(j + 1)) - F.greatest(start, _first_word(j))),
     )
     return placed.withColumn("taken", F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).cast("long")).drop(
         "__no", "__mark", "__bucket", "__offset", "__within")
@@ -190,7 +277,7 @@ def mix_words(
     return out, mix
 
 
-def _cutter(block: int, passes: int):
+def _cutter(passes: int):
     import re
 
     words = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -198,14 +285,22 @@ def _cutter(block: int, passes: int):
     @F.pandas_udf("array<string>")
     def cut(text: pd.Series, start: pd.Series, size: pd.Series, plan: pd.DataFrame) -> pd.Series:
         out = []
-        for content, first, n, blocks, seats, shift in zip(
-            text, start, size, plan["blocks"], plan["seats"], plan["shift"], strict=True
+        for content, first, n, blocks, seats, shift, stride, short, longer in zip(
+            text, start, size, *[plan[c] for c in ("blocks", "seats", "shift", "stride", "short", "longer")], strict=True
         ):
             copies = []
             held = None
-            numbers = range(first // block, (first + n - 1) // block + 1) if n else range(0)
+            turned = longer * (short + 1)
+
+            def block_of(word):
+                return word // (short + 1) if word < turned else longer + (word - turned) // short  # noqa: B023
+
+            def first_word(j):
+                return j * short + min(j, longer)  # noqa: B023
+
+            numbers = range(block_of(first), block_of(first + n - 1) + 1) if n else range(0)
             for turn in range(passes):
-                chosen = [j for j in numbers if (j * STRIDE + shift) % blocks + turn * blocks < seats]
+                chosen = [j for j in numbers if (j * stride + shift) % blocks + turn * blocks < seats]
                 if len(chosen) == len(numbers):
                     copies += [content] * bool(chosen)
                 elif chosen:
@@ -214,7 +309,7 @@ def _cutter(block: int, passes: int):
                         held = [m.span() for m in words.finditer(raw)]
                     pieces, last = [], None
                     for j in chosen:
-                        a, b = max(j * block - first, 0), min((j + 1) * block - first, n)
+                        a, b = max(first_word(j) - first, 0), min(first_word(j + 1) - first, n)
                         if last == j - 1:
                             pieces[-1][1] = b
                         else:
@@ -245,7 +340,7 @@ def mixed_documents(
     wide = docs.select(
         *inner, F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
     )
-    cut = _cutter(mix.block, mix.passes)
+    cut = _cutter(mix.passes)
     taken = lay_out(wide, mix, "key", seed).filter("taken > 0").withColumn(
         "__texts", cut(F.col(place[text]), F.col("__start"), F.col("size"), F.col("__m")))
     return taken.withColumn("__text", F.explode("__texts")).select(

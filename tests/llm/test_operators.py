@@ -81,6 +81,46 @@ def test_mixing(docs, empty):
     assert {(r["target"], r["taken"]) for r in mixing.mix_words(silent)[0].collect()} == {(0.0, 0)}
 
 
+def test_small_sources_keep_their_share_of_a_large_mix(spark):
+    """Blocks do not grow with the corpus, and a source of less than a block has blocks of its size."""
+    sizes = {"big": 6_000_000_000, "few": 900, "mid": 3_000, "old": 5, "one": 1, "zero": 0}
+    records = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    mix = mixing.plan_mix(records, weights=(5, 2, 1))
+    rows = {r["source"]: r for r in mix.sources.collect()}
+    assert mix.block == 16 and rows["big"]["target"] > 5e9
+    for name, size in sizes.items():
+        r = rows[name]
+        turns, rest = divmod(r["seats"], max(1, r["blocks"]))
+        low = turns * size + rest * r["short"]
+        assert abs(low - r["target"]) <= 8 + min(rest, r["longer"]), name
+    assert rows["mid"]["target"] == 6_000 and rows["mid"]["seats"] == 2 * rows["mid"]["blocks"]
+    assert sum(r["blocks"] for r in mix.quotas.collect()) == sum(r["seats"] for r in rows.values())
+
+    text = " ".join(f"w{i}" for i in range(3_000))
+    docs = spark.createDataFrame(
+        [(1, text, "a"), (2, text, "a"), (3, "three short words", "b"), (4, "x", "c"), (5, text[:700], "d")],
+        "doc_id long, text string, source string")
+    taken = {r["doc_id"]: r for r in mixing.mix_words(docs)[0].collect()}
+    words = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        words[r["doc_id"]] += n_words(r["text"])
+    assert words == Counter({i: r["taken"] for i, r in taken.items()})
+    assert taken[3]["taken"] == 6 and taken[4]["taken"] == 2 and taken[5]["taken"] == 2 * taken[5]["size"]
+
+
+@pytest.mark.parametrize("seats", [1, 3, 2_000, 40_000, 10**9])
+def test_awards_with_many_ties(spark, seats):
+    targets, most = [100.0] * 1500 + [50.0, 300.0, 1e-9], [40] * 1500 + [3, 1000, 2]
+    df = spark.createDataFrame([(i, t, m) for i, (t, m) in enumerate(zip(targets, most, strict=True))],
+                               "source_no long, target double, most long")
+    all_ = sorted((-t / (2 * k + 1), i) for i, (t, m) in enumerate(zip(targets, most, strict=True)) for k in range(m))
+    seats_, expected = min(seats, len(all_)), Counter()
+    for rank, (_, i) in enumerate(all_[:seats_]):
+        expected[rank * 4 // seats_, i] += 1
+    got = mixing.awards(df, seats, n_shards=4).collect()
+    assert Counter({(r["shard"], r["source_no"]): r["blocks"] for r in got}) == expected
+
+
 def test_bpe_is_the_library(docs, empty):
     from tokenizers import Tokenizer
 
