@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,6 +104,7 @@ def segments(conversations: DataFrame, template: Template) -> DataFrame:
 def assembled(parts: DataFrame, template: Template) -> DataFrame:
     """One row per conversation: formatted text, loss spans, verdict.
 
+    For conversations that fit into one value; longer ones stay :func:`segments`.
     ``loss_spans`` are half-open ranges of code points, in order.  ``valid``:
     every move was allowed and the last role may end a conversation.
     """
@@ -131,7 +134,10 @@ _DIGEST = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 strin
 
 
 def digests(chats: DataFrame, template: Template | None = None) -> DataFrame:
-    """Digests of what a reader gets back from the formatted text and its loss spans."""
+    """Digests of what a reader gets back from the formatted text and its loss spans.
+
+    Of assembled conversations; :func:`stream_digests` gives the same for any length.
+    """
     template = template or Template()
 
     @F.pandas_udf(_DIGEST)
@@ -148,3 +154,69 @@ def digests(chats: DataFrame, template: Template | None = None) -> DataFrame:
     return chats.select("conv_id", read("formatted", "loss_spans").alias("__d"), "valid").select(
         "conv_id", "__d.*", "valid"
     )
+
+
+class _Reader:
+    """What a reader of one conversation's segments, in order, has seen so far."""
+
+    def __init__(self, template: Template):
+        self.template, self.turn, self.role = template, [], ""
+        self.n_turns = self.chars = self.loss_chars = 0
+        self.said, self.loss, self.allowed = hashlib.sha256(), hashlib.sha256(), True
+
+    def add(self, part: int, segment: str, loss: bool, start: int, allowed: bool, role: str) -> None:
+        if start != self.chars or part != len(self.turn):
+            raise ValueError(f"segment out of place at {start}")
+        self.chars += len(segment)
+        self.turn.append(segment)
+        if loss:
+            text = self.template.plain(segment)
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+        if part == 2:
+            ((name, content),) = self.template.turns("".join(self.turn))
+            self.said.update(f"{name}\n{content}\n".encode())
+            self.n_turns, self.turn = self.n_turns + 1, []
+            self.allowed, self.role = self.allowed and allowed, role
+
+    def result(self) -> tuple:
+        return (self.n_turns, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars,
+                self.allowed and self.role in self.template.final)
+
+
+def stream_digests(conversations: DataFrame, template: Template | None = None) -> DataFrame:
+    """The digests of :func:`digests`, for conversations of any length.
+
+    The segments stay rows, sorted by conversation and place; a task keeps
+    running checksums and one turn at a time.
+    """
+    template = template or Template()
+    columns = ("part", "segment", "loss", "start", "allowed", "role")
+    names = [f.split()[0] for f in _DIGEST.split(", ")] + ["valid"]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, now, kind = None, None, None
+
+        def told(rows: list[tuple]) -> pa.RecordBatch:
+            found = [pa.array([r[i + 1] for r in rows], t) for i, t in enumerate(types)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], kind), *found], names=["conv_id", *names])
+
+        for batch in batches:
+            done, kind = [], batch.schema.field("conv_id").type
+            taken = [batch[c] for c in columns]
+            for i, conv in enumerate(batch["conv_id"].to_pylist()):
+                if reader is None or conv != now:
+                    if reader is not None:
+                        done.append((now, *reader.result()))
+                    reader, now = _Reader(template), conv
+                reader.add(*[c[i].as_py() for c in taken])
+            if done:
+                yield told(done)
+        if reader is not None:
+            yield told([(now, *reader.result())])
+
+    parts = segments(conversations, template)
+    schema = f"conv_id {parts.schema['conv_id'].dataType.simpleString()}, {_DIGEST}, valid boolean"
+    ordered = parts.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no", "part")
+    return ordered.select("conv_id", *columns).mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from postsieve.llm import bpe, mixing, substring, suffix
 from postsieve.llm.base import table
-from postsieve.llm.chat import digests, format_chats
+from postsieve.llm.chat import stream_digests
 from postsieve.llm.sharding import shard_documents
 from postsieve.llm.simhash import hex_digits, near_duplicates
 from postsieve.llm.sketch import edited_by_neighbour
@@ -89,7 +89,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
-    return digests(format_chats(chats.unionByName(tricky)))
+    return stream_digests(chats.unionByName(tricky))
 
 
 @query("op5_substring_dedup", r"""

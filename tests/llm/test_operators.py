@@ -178,6 +178,26 @@ def test_chats(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chats_of_any_length_stay_rows(spark, tmp_path):
+    """The query collects no conversation into one value, and gives what assembled conversations give."""
+    from postsieve.llm.queries import QUERIES
+
+    rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t} ### \\ </turn> " + "é" * t) for t in range(700)]
+    rows += [(None, t, "user", "q") for t in range(40)] + [(2, 0, "user", None), (2, 1, "assistant", "a"), (3, 0, None, "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    found = QUERIES["op4_chat_formatting"](spark, str(tmp_path))
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    expected = Counter(map(tuple, chat.digests(chat.format_chats(df)).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert Counter(map(tuple, chat.stream_digests(df).collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Counter(tuple(r) for r in found.collect() if r["conv_id"] != -7) == expected
+    assert chat.stream_digests(df.limit(0)).count() == 0
+
+
 def test_sketches(docs, empty):
     rows = sorted(make_rows(), key=lambda r: (r[0] is not None, r[0] or 0))
     got = sketch.edited_by_neighbour(docs).collect()
