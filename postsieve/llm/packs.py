@@ -146,31 +146,53 @@ def mapped(packs: DataFrame, fn: Callable, schema) -> DataFrame:
     return packs.mapInArrow(run, schema)
 
 
-def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int) -> Iterator[pa.Table]:
-    """Sorted batches cut at changes of ``keys`` into tables of about ``rows`` rows or one group."""
+def grouped(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Sorted batches cut at changes of ``key`` into tables of whole groups, about ``rows`` rows each.
+
+    A group above ``rows`` rows comes in pieces, flagged, as it streams past: no
+    more than ``rows`` rows and one batch are held, however large a group is.
+    """
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, hot = 0, None
+
+    def cut(final: bool) -> Iterator[tuple[pa.Table, bool]]:
+        nonlocal held, size, hot
+        whole = pa.Table.from_batches(held).combine_chunks()
+        values = whole[key].to_numpy()
+        starts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        begin = 0
+        if hot is not None and values[0] == hot:
+            begin = int(starts[0]) if len(starts) else len(whole)
+            yield whole.slice(0, begin), True
+        if begin < len(whole):
+            hot = None
+        last = len(whole) if final else max(begin, int(starts[-1]) if len(starts) else 0)
+        if last > begin:
+            yield whole.slice(begin, last - begin), False
+        rest = whole.slice(last)
+        if len(rest) >= rows:
+            hot = values[-1]
+            yield rest, True
+            rest = rest.slice(len(rest))
+        held = [b for b in rest.combine_chunks().to_batches() if len(b)]
+        size = len(rest)
+
     for batch in batches:
         if not len(batch):
             continue
         held.append(batch)
         size += len(batch)
-        if size < rows:
-            continue
-        whole = pa.Table.from_batches(held).combine_chunks()
-        turn = np.zeros(len(whole), bool)
-        for key in keys:
-            values = whole[key].to_numpy()
-            turn[1:] |= values[1:] != values[:-1]
-        starts = np.flatnonzero(turn)
-        if len(starts):
-            yield whole.slice(0, int(starts[-1]))
-            held = whole.slice(int(starts[-1])).combine_chunks().to_batches()
-            size = sum(map(len, held))
-        else:
-            held, size = whole.to_batches(), 0  # one group so far; look again when as many have come
+        if size >= rows:
+            yield from cut(False)
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield from cut(True)
+
+
+def spans(windows: DataFrame, length: int) -> DataFrame:
+    """Notes from windows (pack, place, offset): windows of one place all cover it, so they make one range."""
+    return windows.groupBy("pack", "place").agg(F.min("offset").alias("least"), F.max("offset").alias("most")).select(
+        "pack", (F.col("place") - F.col("most")).cast("int").alias("place"),
+        (F.col("place") - F.col("least") + length).cast("int").alias("last"))
 
 
 def merged(starts: np.ndarray, stops: np.ndarray, size: int) -> np.ndarray:

@@ -7,7 +7,8 @@ can reach, the later occurrence is settled at once.  One occurrence of each
 different surrounding goes on to the extension: outwards both ways, word by
 word, the earliest occurrence with the same words on either side is found for
 each place of the seed in a window.  Overlapping matches add up to maximal
-repeats.
+repeats.  A seed with more different surroundings than one task extends sends
+its windows out one by one, and the earliest of each is an aggregate.
 """
 
 from __future__ import annotations
@@ -206,15 +207,34 @@ def _send(key: str, text: str):
     return run
 
 
+#: what ``last`` says about a seed of a group too large to be extended at once
+_HOT = -3
+_RANGES = pa.schema([*_NOTES, *[f for f in _SEEDS if f.name not in ("pack", "place")]])
+_WINDOWS = pa.schema([*[f for f in _FOUND if f.name != "around"], ("offset", pa.int32()), ("window", pa.int64())])
+
+
+def _around(table: pa.Table | pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Columns of seeds, and running hashes of the words before and after them."""
+    reach = LENGTH - SEED
+    column = {n: table[n].to_numpy(zero_copy_only=False) for n in table.schema.names if n != "words"}
+    words = np.frombuffer(b"".join(table["words"].to_pylist()), np.uint64).reshape(len(table), 2 * reach)
+    before = _fold(words[:, :reach], column["hash"].astype(np.int64).view(np.uint64))
+    return column, before, _fold(words[:, reach:], np.zeros(len(table), np.uint64))
+
+
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges (pack, place, last) of words that windows around the seeds repeat from earlier on."""
+    """Ranges (pack, place, last) of words that windows around the seeds repeat from earlier on.
+
+    The rows of a group too large to be extended at once pass through.
+    """
     reach = LENGTH - SEED
-    for table in pk.grouped(batches, ["hash"], EXTEND_ROWS):
-        column = {n: table[n].to_numpy(zero_copy_only=False) for n in table.schema.names if n != "words"}
+    for table, hot in pk.grouped(batches, "hash", EXTEND_ROWS):
+        if hot:
+            last = pa.array(np.full(len(table), _HOT, np.int32))
+            yield from table.append_column("last", last).select(_RANGES.names).combine_chunks().to_batches()
+            continue
+        column, before, after = _around(table)
         order = np.lexsort([column[n] for n in reversed(_ORDER)])
-        words = np.frombuffer(b"".join(table["words"].to_pylist()), np.uint64).reshape(len(table), 2 * reach)
-        before = _fold(words[:, :reach], column["hash"].view(np.uint64))
-        after = _fold(words[:, reach:], np.zeros(len(table), np.uint64))
         rank = np.stack([column[n].astype(np.int64) for n in _ORDER])
         out = []
         for o in range(reach + 1):
@@ -223,9 +243,24 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, first, back = np.unique(window, return_index=True, return_inverse=True)
             late = rows[(rank[:, rows] != rank[:, rows[first[back]]]).any(0)]
             out.append((column["pack"][late], column["place"][late] - o, column["place"][late] - o + LENGTH))
+        found = [np.concatenate([x[i] for x in out]).astype(t) for i, t in enumerate((np.int64, np.int32, np.int32))]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([x[i] for x in out]).astype(t)) for i, t in enumerate((np.int64, np.int32, np.int32))],
-            schema=_NOTES)
+            [*map(pa.array, found), *[pa.nulls(len(found[0]), f.type) for f in list(_RANGES)[3:]]], schema=_RANGES)
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window over a seed, with a hash of its words."""
+    reach = LENGTH - SEED
+    for batch in batches:
+        if not len(batch):
+            continue
+        column, before, after = _around(batch)
+        for o in range(reach + 1):
+            rows = np.flatnonzero((column["left"] >= o) & (column["right"] >= reach - o))
+            window = (before[rows, o] ^ (after[rows, reach - o] * np.uint64(0xBF58476D1CE4E5B9))) * _ODD
+            columns = [pa.array(column[f.name][rows].astype(f.type.to_pandas_dtype())) for f in list(_WINDOWS)[:-2]]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(np.full(len(rows), o, np.int32)), pa.array(window.view(np.int64))], schema=_WINDOWS)
 
 
 def repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -238,8 +273,13 @@ def repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     by_seed = found.repartition("hash").sortWithinPartitions("hash", "around", *_ORDER)
     notes = pk.staged(by_seed.mapInArrow(_settle, _spark(_NOTES)), "settled")
     seeds = pk.joined(packs, notes.filter("last = -2"), _send(key, text), _spark(_SEEDS))
-    ranges = seeds.repartition("hash").sortWithinPartitions("hash").mapInArrow(_extend, _spark(_NOTES))
-    return packs, notes.filter("last = -1").unionByName(ranges)
+    ranges = pk.staged(seeds.repartition("hash").sortWithinPartitions("hash").mapInArrow(_extend, _spark(_RANGES)), "ranges")
+    windows = ranges.filter(f"last = {_HOT}").mapInArrow(_windows, _spark(_WINDOWS))
+    same, order = ["hash", "offset", "window"], F.struct(*_ORDER)
+    firsts = windows.groupBy(*same).agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    late = windows.join(firsts, same).filter(order != F.col("first"))
+    known = notes.filter("last = -1").unionByName(ranges.filter(f"last <> {_HOT}").select("pack", "place", "last"))
+    return packs, known.unionByName(pk.spans(late, LENGTH))
 
 
 def _masks(table: pa.Table, notes: pa.Array, key: str, text: str) -> Iterator[tuple[list[bytes], np.ndarray]]:

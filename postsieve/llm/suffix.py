@@ -10,8 +10,12 @@ their beginnings.
 The sort is a mergesort.  Two suffixes are compared through their longest
 common extension, found by binary search over prefix polynomial hashes, so a
 comparison takes a logarithmic number of steps; the last word and the byte
-that differs are read from the texts.  Every repeat that comes out is verified
-byte by byte.
+that differs are read from the texts.  Every repeat that comes out of the sort
+is verified byte by byte.
+
+An anchor with more different surroundings than one task sorts is not sorted:
+its windows go out one by one, with 128 bits of a hash of their bytes as key,
+and are counted where they are.
 """
 
 from __future__ import annotations
@@ -42,6 +46,11 @@ _SENT = pa.schema([("hash", pa.int64()), ("check", pa.int64()), ("pack", pa.int6
                    ("wanted", pa.bool_()), ("left", pa.binary()), ("right", pa.binary())])
 #: what ``last`` says about an anchor: all its windows repeat; to be sorted; both
 _DONE, _SORT, _BOTH = -1, -2, -3
+#: what ``last`` says about an anchor of a group too large to be sorted
+_HOT = -4
+_SORTED = pa.schema([*_NOTES, *[f for f in _SENT if f.name not in ("pack", "place")]])
+_WINDOWS = pa.schema([("key", pa.binary()), ("pack", pa.int64()), ("place", pa.int32()), ("offset", pa.int32()),
+                      ("wanted", pa.bool_())])
 
 
 class _Bytes:
@@ -283,7 +292,12 @@ def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) ->
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in pk.grouped(batches, ["hash"], SORT_ROWS):
+    """Ranges of repeats in groups of equal anchors; the rows of a group too large to be sorted pass through."""
+    for table, hot in pk.grouped(batches, "hash", SORT_ROWS):
+        if hot:
+            last = pa.array(np.full(len(table), _HOT, np.int32))
+            yield from table.append_column("last", last).select(_SORTED.names).combine_chunks().to_batches()
+            continue
         hashes, check = table["hash"].to_numpy(), table["check"].to_numpy()
         _, group = np.unique(np.stack([hashes, check], 1), axis=0, return_inverse=True)
         rows, low, high = repeats(table["left"].to_pylist(), table["right"].to_pylist(), group.ravel(),
@@ -291,7 +305,30 @@ def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = table["place"].to_numpy().astype(np.int64)[rows]
         yield pa.RecordBatch.from_arrays([
             pa.array(table["pack"].to_numpy()[rows]), pa.array((place - low).astype(np.int32)),
-            pa.array((place + ANCHOR + high).astype(np.int32))], schema=_NOTES)
+            pa.array((place + ANCHOR + high).astype(np.int32)),
+            *[pa.nulls(len(rows), f.type) for f in list(_SORTED)[3:]]], schema=_SORTED)
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window over an anchor, keyed by 128 bits of a hash of its bytes."""
+    import xxhash
+
+    digest = xxhash.xxh3_128_digest
+    for whole in batches:
+        for start in range(0, len(whole), 500):
+            batch, keys, row, offset = whole.slice(start, 500), [], [], []
+            columns = [batch[n].to_pylist() for n in ("hash", "check", "left", "right")]
+            for i, (a, b, left, right) in enumerate(zip(*columns, strict=True)):
+                anchor = np.array([a, b]).tobytes()
+                for o in range(max(0, REACH - len(right)), min(REACH, len(left)) + 1):
+                    keys.append(digest(anchor + bytes([o]) + left[len(left) - o:] + right[:REACH - o]))
+                    row.append(i)
+                    offset.append(o)
+            at = np.array(row, np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys, pa.binary()), pa.array(batch["pack"].to_numpy()[at]), pa.array(batch["place"].to_numpy()[at]),
+                pa.array(np.array(offset, np.int32)), pa.array(batch["wanted"].to_numpy(zero_copy_only=False)[at].astype(bool)),
+            ], schema=_WINDOWS)
 
 
 def repeated_bytes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -301,8 +338,12 @@ def repeated_bytes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Data
     by_anchor = found.repartition("hash").sortWithinPartitions("hash", "around")
     notes = pk.staged(by_anchor.mapInArrow(_settle, _spark(_NOTES)), "settled")
     sent = pk.joined(packs, notes.filter(f"last <> {_DONE}"), _send(text), _spark(_SENT))
-    ranges = sent.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sort, _spark(_NOTES))
-    return packs, notes.filter(f"last <> {_SORT}").withColumn("last", F.lit(_DONE)).unionByName(ranges)
+    ranges = pk.staged(sent.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sort, _spark(_SORTED)), "ranges")
+    windows = ranges.filter(f"last = {_HOT}").mapInArrow(_windows, _spark(_WINDOWS))
+    again = windows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    hot = pk.spans(windows.filter("wanted").join(again, "key"), LENGTH)
+    known = notes.filter(f"last <> {_SORT}").withColumn("last", F.lit(_DONE))
+    return packs, known.unionByName(ranges.filter(f"last <> {_HOT}").select("pack", "place", "last")).unionByName(hot)
 
 
 def _masks(table: pa.Table, notes: pa.Array, text: str) -> Iterator[tuple[bytes, np.ndarray]]:

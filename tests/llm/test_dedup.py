@@ -184,3 +184,48 @@ def test_notes_do_not_depend_on_batches(size):
         first = (doc[i], at[i]) == least[hashes[i], around[i]]
         assert (-1 in got[i]) == (not first)
         assert (-2 in got[i]) == (first and kinds[hashes[i]] > 1)
+
+
+@pytest.mark.parametrize("batch", [1, 7, 100])
+def test_large_groups_are_not_held(batch):
+    """A group above the bound comes in flagged pieces; all rows come once, in order."""
+    from postsieve.llm import packs
+
+    sizes = [3, 500, 1, 1, 60, 40, 300, 2, 5, 51]
+    values = np.repeat(np.arange(len(sizes)), sizes)
+    table = pa.table({"hash": values, "row": np.arange(len(values))})
+    seen, flags = [], defaultdict(set)
+    for piece, hot in packs.grouped(iter(table.to_batches(max_chunksize=batch)), "hash", 50):
+        assert 0 < len(piece) <= 50 + batch
+        seen += piece["row"].to_pylist()
+        for h in set(piece["hash"].to_pylist()):
+            flags[h].add(hot)
+    assert seen == list(range(len(values)))
+    assert all(len(f) == 1 for f in flags.values()) and flags[1] == {True} and flags[0] == {False}
+
+
+def test_hot_passages(spark, monkeypatch):
+    """A passage in very many different surroundings is spread out by window, with the same result."""
+    import random
+
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefgé") for _ in range(rnd.randint(1, 8))) for _ in range(300)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    notice, long_notice, phrase = text(52)[:300], text(100)[:470], text(14)
+    ends = [text(12) for _ in range(3)]
+    rows = []
+    for i in range(60):
+        middle = (notice, long_notice, phrase)[i % 3]
+        rows.append((i - 5, f"{text(rnd.randint(0, 70))} {rnd.choice(ends)} {middle} {rnd.choice(ends)} {text(rnd.randint(0, 70))}".strip()))
+    rows += rows[:4] + [(None, rows[7][1]), (99, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for module, bound in ((substring, "EXTEND_ROWS"), (suffix, "SORT_ROWS")):
+        monkeypatch.setattr(module, bound, 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got_words = Counter(tuple(r) for r in substring.digests(df).collect())
+        got_bytes = Counter(tuple(r) for r in suffix.digests(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got_words == Counter((r[0], *x) for r, x in zip(rows, brute_words(rows), strict=True))
+    assert got_bytes == Counter((r[0], *x) for r, x in zip(rows, brute_bytes(rows), strict=True))
