@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postsieve.llm import bpe, mixing, substring, suffix
 from postsieve.llm.base import table
 from postsieve.llm.chat import stream_digests
+from postsieve.llm.resampling import resample
 from postsieve.llm.sharding import shard_documents
 from postsieve.llm.simhash import hex_digits, near_duplicates
 from postsieve.llm.sketch import edited_by_neighbour
@@ -213,3 +214,59 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard",
     )
+
+
+@query("op13_target_resampling", r"""
+    with recursive bytes as (select unnest(range(256)) as i),
+    crc as materialized (
+        select list(list_reduce(list_concat([i::bigint], range(8)), lambda c, x:
+            case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t from bytes
+    ),
+    words as materialized (
+        select 'd' as side, doc_id as id, rowid as r, unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w
+        from (select *, row_number() over () as rowid from documents)
+        union all
+        select 'b', null, null, unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+        from benchmark
+    ),
+    places as materialized (
+        select w, xor(list_reduce(list_concat([4294967295::bigint],
+            list_transform(range(1, octet_length(encode(w)) + 1),
+                lambda k: ('0x' || substr(hex(encode(w)), 2 * k - 1, 2))::bigint)),
+            lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 as bucket
+        from (select distinct w from words), crc
+    ),
+    counts as (
+        select bucket, count(*) filter (side = 'd') as s, count(*) filter (side = 'b') as t
+        from words join places using (w) group by bucket
+    ),
+    gains as materialized (
+        select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)
+            / ((s + 1)::double * (sum(t) over () + 10000))))::bigint as gain
+        from counts
+    ),
+    weights as (
+        select r, count(*) as n, sum(gain)::bigint as weight
+        from words join places using (w) join gains using (bucket) where side = 'd' group by r
+    ),
+    scores as (
+        select doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+            (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                (('0x' || substr(sha256('2024:' || doc_id::varchar), 1, 8))::bigint + 0.5::double) / 4294967296))))::bigint as score
+        from (select *, row_number() over () as r from documents) left join weights using (r)
+    ),
+    ranked as (
+        select *, n_features >= 20 as fit, row_number() over (
+            partition by n_features >= 20 order by score desc, doc_id) as place, count(*) over (partition by n_features >= 20) as n
+        from scores
+    )
+    select doc_id, n_features, weight, score,
+        case when fit and place <= 10 * n // 100 then place end as rank
+    from ranked
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the word statistics of the benchmark."""
+    return resample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text"),
+                    share=0.1, min_words=20, max_run=1, buckets=10_000, seed=2024)
