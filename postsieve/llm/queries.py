@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from postsieve.llm import bpe, mixing, substring, suffix
 from postsieve.llm.base import table
+from postsieve.llm.cells import near_vectors
 from postsieve.llm.chat import stream_digests
+from postsieve.llm.negatives import hard_negatives
 from postsieve.llm.resampling import resample
 from postsieve.llm.sharding import shard_documents
 from postsieve.llm.simhash import hex_digits, near_duplicates
@@ -216,6 +218,65 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_hard_negatives", """
+    with ints as materialized (
+        select row_number() over () as r, vec_id,
+            case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings
+        where label is not null and embedding is not null and not list_has_any(
+            list_transform(embedding, lambda x: x is null or not isfinite(x)), [true])
+    ),
+    scored as materialized (
+        select a.r, a.vec_id as anchor_id, c.vec_id, c.r as c, a.label = c.label as same,
+            list_dot_product(a.v, c.v)::bigint as score
+        from ints a join ints c on a.r <> c.r
+        where a.vec_id % 100 = 0
+    ),
+    positives as (
+        select * from scored where same
+        qualify row_number() over (partition by r order by score desc, vec_id) <= 5
+    )
+    select p.anchor_id, p.vec_id as positive_id,
+        row_number() over (partition by p.r, p.c order by n.score desc, n.vec_id)::int as rank,
+        n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+    from positives p join scored n on p.r = n.r and not n.same
+        and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+    qualify rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some labels shifted by one."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(rows.withColumn("label", shifted), divisor=100)
+
+
+@query("op12_embedding_near_dedup", """
+    with recursive rows as materialized (
+        select row_number() over () as r, vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+    ),
+    usable as materialized (
+        select * from rows where v is not null and list_has_any(list_transform(v, lambda x: x <> 0), [true])
+            and not list_has_any(list_transform(v, lambda x: x is null or not isfinite(x)), [true])
+    ),
+    links as materialized (
+        select a.r as a, b.r as b from usable a join usable b on a.r <> b.r
+        where list_cosine_similarity(a.v, b.v) >= 0.9
+    ),
+    reached(r, t) as (select r, r from rows union select reached.r, b from reached join links on t = a),
+    groups as (
+        select reached.r, min(rows.vec_id) as component_id from reached join rows on rows.r = t group by reached.r
+    )
+    select vec_id, count(links.b) as n_links, component_id, vec_id = component_id as kept
+    from rows join groups using (r) left join links on links.a = rows.r
+    group by rows.r, vec_id, component_id
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors with cosines of 0.9 or more."""
+    return near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), least=0.9)
+
+
 @query("op13_target_resampling", r"""
     with recursive bytes as (select unnest(range(256)) as i),
     crc as materialized (

@@ -184,9 +184,9 @@ def resample(
     """Every document's key, n_features, weight, score and rank; rank is null for those not drawn.
 
     Of the documents with at least ``min_words`` words, ``floor(share * N)``
-    highest scores are drawn, ties to smaller keys (a null key is the largest).
-    Rows that repeat a key count and are drawn on their own; equal rows take
-    neighbouring ranks.  Other columns are not read; an empty table gives no
+    highest scores are drawn, ties to smaller keys (a null key is the largest),
+    then to fewer features.  Rows that repeat a key count and are drawn on
+    their own; equal rows take neighbouring ranks.  Other columns are not read; an empty table gives no
     rows, an empty target only flattens the gains.
     """
     rows = staged(scored(docs, target, key, text, max_run, buckets, seed), "scored")
@@ -195,7 +195,8 @@ def resample(
     # share is taken in millionths, so that 0.1 of 30 is 3
     drawn = eligible * round(share * 1_000_000) // 1_000_000
     ranked = number_rows(
-        rows.withColumn("unfit", ~fit), F.asc("unfit"), F.desc("score"), F.asc_nulls_last("key"), out="place")
+        rows.withColumn("unfit", ~fit), F.asc("unfit"), F.desc("score"), F.asc_nulls_last("key"), F.asc("n_features"),
+        out="place")
     rank = F.when(~F.col("unfit") & (F.col("place") < drawn), F.col("place").cast("long") + 1)
     return ranked.select(F.col("key").alias(key), "n_features", "weight", "score", rank.alias("rank"))
 
