@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import Context, query
 from postsieve.functions.headers import known_encoding
 from postsieve.operators import decoding
+from postsieve.plans.mail_corpus import undecoded_mails
 
 
 def _bodies(ctx: Context):
@@ -45,6 +46,40 @@ def e1(ctx: Context):
     return decoding.with_proposal(_bodies(ctx)).select("doc_key", "encproposal")
 
 
+_BRANCH = "cast(doc_key % 9 as int)"
+
+
+@query(
+    "e1_all_branches",
+    f"select doc_key, case {_BRANCH} when 0 then case when text = '' then null when {_ASCII} then 'ascii' else 'utf-8' end "
+    "when 1 then 'utf-8-sig' when 2 then 'utf-16' when 3 then 'utf-16' when 4 then 'utf-32' when 5 then 'utf-32' "
+    "when 6 then 'windows-1252' end as encproposal, "
+    f"cast(case {_BRANCH} when 0 then case when text = '' then 0 when {_ASCII} then 1 else 0.99 end "
+    "when 6 then 0.73 when 7 then 0 when 8 then 0 else 1 end as double) as encconf, '' as language, "
+    f"case {_BRANCH} when 6 then concat(text, '€') when 7 then '' when 8 then null else text end as body_dc from {{fx_plain}}",
+)
+def e1_branches(ctx: Context):
+    def marked(mark: str, charset: str):
+        return F.concat(F.unhex(F.lit(mark)), F.encode("text", charset))
+
+    variants = [
+        F.encode("text", "UTF-8"), marked("EFBBBF", "UTF-8"), marked("FFFE", "UTF-16LE"), marked("FEFF", "UTF-16BE"),
+        marked("0000FEFF", "UTF-32"), marked("0000FEFF", "UTF-32"),
+        F.concat(F.encode("text", "ISO-8859-1"), F.unhex(F.lit("80"))), F.unhex(F.lit("")),
+    ]
+    body = F.lit(None).cast("binary")
+    for number, variant in enumerate(variants):
+        body = F.when(F.col("doc_key") % 9 == number, variant).otherwise(body)
+    bodies = ctx("fx_plain").select("doc_key", F.lit("unknown").alias("encoding"), body.alias("body"))
+    return decoding.with_decoded_body(decoding.with_proposal(bodies)).select(
+        "doc_key", "encproposal", "encconf", "language", "body_dc")
+
+
+@query("e4_undecoded_rows", f"select doc_key, encoding from ({_PROPOSED}) t where encoding = 'nonsense-8'")
+def e4_undecoded(ctx: Context):
+    return undecoded_mails(_bodies(ctx)).select("doc_key", "encoding")
+
+
 def _decoded(ctx: Context):
     return decoding.with_decoded_body(decoding.with_proposal(_bodies(ctx)))
 

@@ -211,6 +211,12 @@ FIXTURES = {
         "case when max(l_returnflag) = 'R' then '1' else '0' end as is_body, max(l_partkey) as part "
         "from {lineitem} group by l_orderkey, l_linenumber"
     ),
+    # the same documents in 64 archives
+    "fx_bins": (
+        "select concat('F', cast(order_key % 64 as string)) as file, order_key % 64 as order_key, proc, "
+        "order_key * 10 + line as line, concat('D', cast(order_key as string), '-', doc_id) as doc_id, is_body, part "
+        "from {fx_archive}"
+    ),
 }
 
 #: fixtures whose first table is spread over all cores before the text work

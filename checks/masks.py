@@ -46,16 +46,13 @@ def mask_documents(ctx: Context):
 
 @query(
     "r_mask_missing",
-    "select o_orderkey as doc_key, "
-    f"coalesce(trim({Q.mask_one('case when o_orderkey % 3 = 0 then null else o_orderstatus end', MASK_SEQUENCE[1])}"
-    f", {Q.quote(WHITESPACE)}), 'ANONYMIZATION FAILED') as masked from {{orders}}",
+    "select doc_key, case when text is null then 'ANONYMIZATION FAILED' else masked end as masked from "
+    f"(select doc_key, text, {Q.mask_chain('text')} as masked from "
+    "(select doc_key, case when doc_key % 3 = 0 then null else text end as text from {fx_pii}) p) t",
 )
 def mask_missing(ctx: Context):
-    text = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))
-    return ctx("orders").select(
-        F.col("o_orderkey").alias("doc_key"),
-        finish(mask_one(text, MASK_SEQUENCE[1])).alias("masked"),
-    )
+    texts = ctx("fx_pii").withColumn("text", F.when(F.col("doc_key") % 3 != 0, F.col("text")))
+    return with_masked_text(texts, "text", "masked").drop("text")
 
 
 _TAGS = ("<DATUM>", "<TELFAX>", "<EMAIL>", "<VIN>", "<KFZKZ>", "<PLZ>", "<URL>", "<666666>")

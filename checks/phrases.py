@@ -27,6 +27,12 @@ def c1(ctx: Context):
 
 
 _steps("c2_replace_rulers", Q.rulers("body"), P.ruler_steps)
+@query("c2_unfolded_documents", f"select doc_id, {Q.rulers(Q.controls('text'))} as cleaned from {{documents}}")
+def c2_documents(ctx: Context):
+    cleaned = rewrite(P.replace_controls(F.col("text")), P.ruler_steps())
+    return ctx("documents").select("doc_id", cleaned.alias("cleaned"))
+
+
 _steps("c3_drop_titles", Q.titles("body"), P.title_steps)
 _steps("c4_trim_reply", Q.reply("body"), P.reply_steps)
 _steps("c5_tag_salutations", Q.salutations("body"), P.salutation_steps)

@@ -112,3 +112,18 @@ def decode_body(body: Column, encoding: Column, other_charsets: bool = True) ->
         return text
     builtin = name.isin(*_UTF8, *_ASCII, *_LATIN1, *_CP1252, *_LATIN9)
     return F.coalesce(text, _decode_other("ignore")(F.when(~builtin, body), name))
+
+
+def loses_bytes(body: Column, encoding: Column, text: Column) -> Column:
+    """Whether ``text``, decoded from ``body``, lacks bytes that the charset has no character for.
+
+    Told by validity for UTF-8 and by length for the charsets of one byte a
+    character; false for others.
+    """
+    name = F.lower(F.trim(encoding))
+    single = name.isin(*_ASCII, *_LATIN1, *_LATIN9, *_CP1252) | name.rlike("^(iso-?8859-\\d+|windows-125\\d|cp125\\d)$")
+    return (
+        F.when(name.isin(*_UTF8), ~F.is_valid_utf8(body.cast("string")))
+        .when(single, F.length(text) < F.octet_length(body))
+        .otherwise(F.lit(False))
+    )

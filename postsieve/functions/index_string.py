@@ -113,13 +113,14 @@ def parse_keys(df: DataFrame, column: str = "indexstring") -> DataFrame:
     return df.withColumn("error", error)
 
 
-def fill_with_median(df: DataFrame, *columns: str) -> DataFrame:
+def fill_with_median(df: DataFrame, *columns: str, among: DataFrame | None = None) -> DataFrame:
     """Replace nulls by the truncated median of each column's other values.
 
     The medians are one scalar row, computed with a map-side partial count
-    per distinct value, so no task sees all values of a long column.
+    per distinct value, so no task sees all values of a long column.  They are
+    taken over ``among``, or over ``df`` itself, which then runs twice.
     """
-    medians = df.agg(
+    medians = (df if among is None else among).agg(
         F.struct(*[F.median(c).try_cast("bigint").alias(c) for c in columns]).alias("m")
     ).scalar()
     return df.withColumns({

@@ -1,9 +1,10 @@
 """Token lookups: blocklist, postcode and gazetteer masks, lexicon build.
 
-A lookup of checked size is copied to the tasks, which then look up whole
-Arrow batches of tokens without any shuffle.  A larger one is joined: the
-distinct tokens of each text are exploded and joined on the token, and only
-the hits, a small part of the tokens, go back to their texts.
+A lookup of checked size goes out as one broadcast variable; the distinct
+tokens of each Arrow batch are looked up in it, without any shuffle.  Of a
+larger one only the part that the texts use goes out, if that is small: a join
+of the distinct tokens finds it.  Beyond that the tokens are joined under
+narrow row ids, and the hits go back to their rows.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsieve.functions.rewrite import evaluated_once
 from postsieve.functions.tokens import tokens, words
-from postsieve.operators.lookup import MAX_BROADCAST_ROWS, collect_if_small
+from postsieve.operators.lookup import MAX_BROADCAST_ROWS, collect_if_small, with_row_ids
 
 # Tag and rank of each gazetteer, first match wins.
 GAZETTEERS = {
@@ -116,24 +118,53 @@ def _one_tag_per_token(lexicon: DataFrame) -> DataFrame:
     )
 
 
-def _tag_batches(table: pa.Table):
+def _ship(df: DataFrame, table: pa.Table) -> Broadcast:
+    """Token to tag as one broadcast variable; a worker process unpacks it once."""
+    tokens_, tags = (table.column(name).to_pylist() for name in ("token", "tag"))
+    return df.sparkSession.sparkContext.broadcast(dict(zip(tokens_, tags, strict=True)))
+
+
+def _found(lists: pa.Array, shipped: Broadcast) -> pa.Array:
+    """The tag of every token of the lists; each distinct token is looked up once."""
+    coded = lists.flatten().dictionary_encode()
+    known = shipped.value
+    tags = pa.array([known.get(token) for token in coded.dictionary.to_pylist()], pa.string())
+    return tags.take(coded.indices)
+
+
+def _tag_batches(shipped: Broadcast):
     """Arrow function: each upper-cased token list to the list of its tags."""
-    keys = table.column("token").combine_chunks()
-    tags = table.column("tag").combine_chunks()
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def tag(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten()
-        found = tags.take(pc.index_in(flat, value_set=keys))
         sizes = pc.fill_null(pc.list_value_length(lists), 0)
         offsets = pa.concat_arrays([
             pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())
         ])
-        return pa.ListArray.from_arrays(offsets, found.cast(pa.string()))
+        return pa.ListArray.from_arrays(offsets, _found(lists, shipped))
 
     return tag
 
 
+#: narrow row id of rows that were written for a join
+_ROW = "__row"
+
+
+def _small_part(
+    df: DataFrame, upper: Column, table: DataFrame, max_rows: int
+) -> tuple[pa.Table | None, DataFrame]:
+    """The lookup, or the part that the texts use, where that is small; and the rows to work on.
+
+    Rows that are read more than once are written first, with row ids.
+    """
+    small = collect_if_small(table, max_rows)
+    if small is not None:
+        return small, df
+    rows = with_row_ids(df, _ROW)
+    used = rows.select(F.explode(upper).alias("token")).distinct().join(table, "token")
+    return collect_if_small(used, max_rows, max_bytes=None), rows
+
+
 def _join_tags(token_list: Column, tag_list: Column) -> Column:
     merged = F.zip_with(token_list, tag_list, lambda token, tag: F.coalesce(tag, token))
     return F.array_join(merged, " ")
@@ -146,36 +177,38 @@ def tag_tokens(
     """Replace tokens found in ``tag_table(token, tag)`` by their tag.
 
     Tokens are joined by one space; ``punctuation=False`` drops marks; of
-    several tags of a token the smallest counts.  A table of more than
-    ``max_rows`` rows is joined, with the same result: hits go back to their
-    texts by checksum, so ``key`` may be null or repeated.
+    several tags of a token the smallest counts.  If neither the table nor the
+    part that the texts use has at most ``max_rows`` rows, it is joined, with
+    the same result; ``key`` may be null or repeated.
     """
     out = out or column
-    tag_table = tag_table.groupBy("token").agg(F.min("tag").alias("tag"))
+    tag_table = tag_table.groupBy("token").agg(F.min("tag").alias("tag")).select("token", "tag")
     split = tokens if punctuation else words
-    df = df.withColumn("__tokens", split(F.col(column)))
-    upper = F.transform("__tokens", F.upper)
-    small = collect_if_small(tag_table.select("token", "tag"), max_rows)
+
+    def upper(text: str) -> Column:
+        return F.transform(split(F.col(text)), F.upper)
+
+    small, rows = _small_part(df, upper(column), tag_table, max_rows)
     if small is not None:
-        df = df.withColumn("__tags", _tag_batches(small)(upper))
-        return df.withColumn(
-            out, _join_tags(F.col("__tokens"), F.col("__tags"))
-        ).drop("__tokens", "__tags")
+        tagged = rows.withColumn("__tokens", split(F.col(column)))
+        tagged = tagged.withColumn("__tags", _tag_batches(_ship(df, small))(F.transform("__tokens", F.upper)))
+        masked = _join_tags(F.col("__tokens"), F.col("__tags"))
+        return tagged.withColumn(out, masked).drop("__tokens", "__tags", _ROW)
 
-    df = df.withColumn("__id", F.md5(F.col(column).cast("binary")))
-    texts = df.dropDuplicates(["__id"]).select("__id", F.explode(F.array_distinct(upper)).alias("token"))
     hits = (
-        texts.join(tag_table, "token")
-        .groupBy("__id")
+        rows.select(_ROW, F.explode(F.array_distinct(upper(column))).alias("token"))
+        .join(tag_table, "token")
+        .groupBy(_ROW)
         .agg(F.map_from_entries(F.collect_list(F.struct("token", "tag"))).alias("__hits"))
     )
-    tag_list = F.transform("__tokens", lambda t: F.col("__hits")[F.upper(t)])
+    token_list = split(F.col(column))
+    tag_list = F.transform(token_list, lambda t: F.col("__hits")[F.upper(t)])
     return (
-        df.join(hits, "__id", "left")
+        rows.join(hits, _ROW, "left")
         .withColumn(out, F.when(
-            F.col("__hits").isNull(), F.array_join("__tokens", " ")
-        ).otherwise(_join_tags(F.col("__tokens"), tag_list)))
-        .drop("__tokens", "__hits", "__id")
+            F.col("__hits").isNull(), F.array_join(token_list, " ")
+        ).otherwise(_join_tags(token_list, tag_list)))
+        .drop("__hits", _ROW)
     )
 
 
@@ -202,17 +235,15 @@ def mask_gazetteers(
 
 # --- blocklist --------------------------------------------------------------
 
-def _any_batches(table: pa.Table):
+def _any_batches(shipped: Broadcast):
     """Arrow function: whether a token list holds a listed token."""
-    keys = table.column("token").combine_chunks()
 
     @F.arrow_udf(T.BooleanType())
     def any_listed(lists: pa.Array) -> pa.Array:
         rows = pc.list_parent_indices(lists)
-        hit = pc.is_in(lists.flatten(), value_set=keys)
-        hit_rows = pc.unique(rows.filter(hit))
-        every = pa.array(np.arange(len(lists)), rows.type)
-        return pc.is_in(every, value_set=hit_rows)
+        hit = np.zeros(len(lists), bool)
+        hit[rows.filter(_found(lists, shipped).is_valid()).to_numpy()] = True
+        return pa.array(hit)
 
     return any_listed
 
@@ -223,20 +254,20 @@ def flag_listed(
 ) -> DataFrame:
     """Whether any upper-cased word of ``column`` is in ``blocklist(token)``."""
     upper = F.transform(words(F.col(column)), F.upper)
-    small = collect_if_small(blocklist.select("token"), max_rows)
+    listed = blocklist.select("token", F.lit("listed").alias("tag"))
+    small, rows = _small_part(df, upper, listed, max_rows)
     if small is not None:
-        checked = _any_batches(small)(F.coalesce(upper, F.array().cast("array<string>")))
-        return df.withColumn(out, checked)
+        checked = _any_batches(_ship(df, small))(F.coalesce(upper, F.array().cast("array<string>")))
+        return rows.withColumn(out, checked).drop(_ROW)
 
-    df = df.withColumn("__id", F.md5(F.col(column).cast("binary")))
     hits = (
-        df.select("__id", F.explode(F.array_distinct(upper)).alias("token"))
+        rows.select(_ROW, F.explode(F.array_distinct(upper)).alias("token"))
         .join(blocklist.select("token"), "token", "left_semi")
-        .select("__id")
+        .select(_ROW)
         .distinct()
         .withColumn(out, F.lit(True))
     )
-    return df.join(hits, "__id", "left").withColumn(out, F.coalesce(out, F.lit(False))).drop("__id")
+    return rows.join(hits, _ROW, "left").withColumn(out, F.coalesce(out, F.lit(False))).drop(_ROW)
 
 
 def drop_listed(

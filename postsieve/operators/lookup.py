@@ -6,20 +6,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postsieve.session import new_folder
+
 #: largest lookup, in rows, that is copied to every task
 MAX_BROADCAST_ROWS = 1_000_000
+#: largest lookup, in bytes by Spark's own estimate, of which any row reaches the driver
+MAX_BROADCAST_BYTES = 256 << 20
+
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of the result as the optimizer estimates it; runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def collect_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> pa.Table | None:
+
+def collect_if_small(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int | None = MAX_BROADCAST_BYTES
+) -> pa.Table | None:
     """The rows of ``df`` if there are at most ``max_rows``, else ``None``.
 
-    The limit bounds what reaches the driver to ``max_rows + 1`` rows, however
-    large ``df`` is.
+    A table that the optimizer takes for larger than ``max_bytes`` stays where
+    it is; of any other, ``max_rows + 1`` rows at most reach the driver.  With
+    ``None`` the estimate, which is far too large behind a join, is not asked.
     """
+    if max_bytes is not None and estimated_bytes(df) > max_bytes:
+        return None
     table = df.limit(max_rows + 1).toArrow()
     return table if table.num_rows <= max_rows else None
 
 
+def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """``df`` written to the shared folder and read back, with a narrow id for every row.
+
+    The ids are part of the written table, so they stay the same however often
+    and wherever it is read; null and repeated keys do not matter.
+    """
+    path = new_folder(df.sparkSession, "rows")
+    numbered = df.withColumn(name, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
 def lookup_values(df: DataFrame, column: str) -> DataFrame:
     """The distinct upper-cased non-null values of one column, as ``token``."""
     return (

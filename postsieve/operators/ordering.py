@@ -62,21 +62,27 @@ def lookup(df: DataFrame, key: str, value) -> DataFrame:
 def running_total(
     df: DataFrame, order: str, value: str, out: str = "total", block: int = 10_000
 ) -> DataFrame:
-    """Sum of ``value`` up to each row of a dense integer ``order``.
+    """Sum of ``value`` over all rows whose ``order`` is not larger, for any sortable ``order``.
 
-    Totals of blocks of ``block`` positions come first; a task then orders the
-    rows of one block, and a single task sees one row per block only.
+    Values of equal ``order`` are added first.  The sums are range-partitioned
+    into as many parts as their number asks for, about ``block`` in each, so a
+    sparse order (time stamps, names) makes no large part; one row per part goes
+    through a single task.
     """
-    df = df.withColumn("__block", F.floor(F.col(order) / block))
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        df.groupBy("__block").agg(F.sum(value).alias("__sum"))
-        .select("__block", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
+    shared_folder(df.sparkSession)
+    sums = df.groupBy(F.col(order).alias("__order")).agg(F.sum(value).alias("__sum")).checkpoint()
+    n_parts = max(1, -(-sums.count() // block))
+    parts = (
+        sums.repartitionByRange(n_parts, "__order")
+        .withColumn("__part", F.spark_partition_id())
+        .checkpoint()
     )
-    upto = Window.partitionBy("__block").orderBy(order)
-    return (
-        df.withColumn("__upto", F.sum(value).over(upto))
-        .join(blocks, "__block")
-        .withColumn(out, F.col("__base") + F.col("__upto"))
-        .drop("__block", "__upto", "__base")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        parts.groupBy("__part").agg(F.sum("__sum").alias("__all"))
+        .select("__part", F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__base"))
     )
+    upto = Window.partitionBy("__part").orderBy("__order")
+    totals = parts.withColumn("__upto", F.sum("__sum").over(upto)).join(bases, "__part").select(
+        "__order", (F.col("__base") + F.coalesce("__upto", F.lit(0))).alias(out))
+    return df.join(totals, F.col(order).eqNullSafe(F.col("__order"))).drop("__order")

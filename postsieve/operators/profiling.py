@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.functions.tokens import word_count
@@ -161,6 +161,29 @@ def step_report(df: DataFrame, step: str, hit: Column) -> DataFrame:
     )
 
 
-def observe_step(df: DataFrame, name: str, hit: Column) -> DataFrame:
-    """Count rows and hits while ``df`` runs, without a pass of its own."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(hit).alias("hits"))
+class StepReport:
+    """Rows after each step of a build, counted while its result runs.
+
+    The counts belong to the first action on the result; asking for them before
+    that waits for it.  A stage that runs again because its output was lost
+    counts its rows again.
+    """
+
+    def __init__(self):
+        self._steps: list[tuple[str, Observation]] = []
+
+    def count(self, df: DataFrame, step: str) -> DataFrame:
+        """``df`` with its rows counted as ``step``."""
+        seen = Observation()
+        self._steps.append((step, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> list[tuple[int, str, int]]:
+        """Number, name and rows of every step."""
+        return [(number, step, seen.get["rows"]) for number, (step, seen) in enumerate(self._steps, 1)]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The same as a table, with the share of the first step's rows that is left."""
+        counted = spark.createDataFrame(self.rows(), "step_nr int, step string, n_rows bigint")
+        first = F.lit(self.rows()[0][2] if self._steps else None).cast("double")
+        return counted.withColumn("share", F.bround(F.col("n_rows") / F.nullif(first, F.lit(0.0)), 3))

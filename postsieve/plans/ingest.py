@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from postsieve.functions import headers as H
 from postsieve.operators.archive import bodies_in_row, first_body
+from postsieve.schemas import MAIL_CONTAINER
 from postsieve.sources.files import archive_errors, scan_archives, scan_messages
 from postsieve.sources.messages import read_message_batch
 
@@ -31,3 +35,23 @@ def ingest_archives(
             raise ValueError("all_bodies needs the enclosing elements in wrappers")
         return first_body(archives), archive_errors(archives)
     return bodies_in_row(archives, wrappers=wrappers, all_bodies=all_bodies), archive_errors(archives)
+
+
+def archive_container(mails: DataFrame, received_format: str, key: str = "file") -> DataFrame:
+    """Mail bodies of archives as a mail container, for the mail build.
+
+    The archive's key becomes the mail's id, and orders the load; date and time
+    come from the time of receipt, null where it does not have the format.
+    Attachments are not read.
+    """
+    received = F.try_to_timestamp("received", F.lit(received_format))
+    known = {
+        "mid": F.col(key).cast("string"), "encoding": F.lit("utf-8"), "type": F.col("doc_type"),
+        "date": H.format_date(received), "time": H.format_time(received), "from": F.col("from"),
+        "subject": F.col("subject"), "body": F.encode("body", "utf-8"), "nbr_files": F.lit(H.NOT_READ),
+        "files": F.array().cast("array<string>"), "specfiles": F.array().cast("array<string>"),
+        "nbr_specfiles": F.lit(0),
+    }
+    known["message_id"] = H.message_id(known["date"], known["time"], F.col("subject"))
+    return mails.select(*[
+        known.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in MAIL_CONTAINER])

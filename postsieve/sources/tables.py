@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsieve.operators.lookup import lookup_values
-from postsieve.operators.ordering import running_total
+from postsieve.operators.ordering import number_rows, running_total
 from postsieve.schemas import MAIL_CONTAINER
 
 
@@ -40,10 +40,13 @@ def file_sequence(name: Column, first: str | None = None) -> Column:
     return F.concat(F.when(ahead, "0").otherwise("1"), name)
 
 
-def load_counts(container: DataFrame, order: str = "file_nr") -> DataFrame:
-    """Rows per file and running total, for a dense integer file number."""
+def load_counts(container: DataFrame, order: str = "file_seq") -> DataFrame:
+    """Each file in load order: its dense number from 0, rows and running total of rows.
+
+    ``order`` is any sort key of the files, such as the loader's own.
+    """
     counts = container.groupBy(order).agg(F.count("*").alias("added"))
-    return running_total(counts, order, "added")
+    return number_rows(running_total(counts, order, "added"), F.col(order), out="file_nr")
 
 
 # Characters of a header name that are replaced or dropped.

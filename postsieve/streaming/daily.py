@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from postsieve.functions.headers import sent_timestamp
 from postsieve.schemas import MAIL_CONTAINER
@@ -42,6 +46,31 @@ def drop_repeats(mails: DataFrame, delay: str | None = None) -> DataFrame:
     )
 
 
+def keep_first_arrival(
+    mails: DataFrame, key: str = "message_id", order: tuple[str, ...] = ("file_seq", "row_seq"),
+) -> DataFrame:
+    """The first row of each key in load order, as the batch build keeps it; null counts as one key.
+
+    Of the rows of one trigger the one that comes first in ``order`` is passed
+    on, unless an earlier trigger has passed one; the state holds one flag per
+    key.  Agrees with the batch build where files arrive in load order.  The
+    rows of a key go by in pieces, of which only the best row is held.
+    """
+    columns = mails.columns
+
+    def first(keys: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for part in parts:
+            rows = part if best is None else pd.concat([best, part])
+            best = rows.sort_values(list(order), kind="stable", na_position="first").head(1)
+        if best is not None and not state.exists:
+            state.update((True,))
+            yield best[columns]
+
+    return mails.groupBy(key).applyInPandasWithState(
+        first, mails.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+
+
 def append_new(mails: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Process all files that are there, append to ``target``, then stop."""
     return (

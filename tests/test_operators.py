@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from postsieve.operators import archive, dedup, filters, joins, lexicon, ordering, tables
@@ -33,10 +34,37 @@ def test_keep_first(spark):
     assert dedup.count_repeats(df, "message_id").first().repeats == len(rows) - len(first)
 
 
-def test_repeats_vanish_before_the_shuffle(spark):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeats_are_found_on_narrow_columns(spark):
     _, df = _mails(spark)
-    plan = dedup.keep_first(df, "message_id", "row_seq")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    df = df.withColumn("body", F.repeat(F.lit("x"), F.col("row_seq")))
+    plan = _plan(dedup.keep_first(df, "message_id", "row_seq"))
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan and "Window" not in plan
+    # too many repeated ids: bits mark the rows that may be repeated, and only those are aggregated
+    plan = _plan(dedup.keep_first(df, "message_id", "row_seq", max_keys=0))
+    assert "partial_min_by" in plan and "bitmap_construct_agg" in plan and "Window" not in plan
+
+
+def test_keep_first_in_every_way(spark, monkeypatch):
+    """Many and few repeated ids, a full bit filter, rows that share the first place, null places."""
+    rows, df = _mails(spark)
+    expected = sorted(map(tuple, dedup.keep_first(df, "message_id", "file_seq", "row_seq").collect()), key=str)
+    many = dedup.keep_first(df, "message_id", "file_seq", "row_seq", max_keys=3)
+    assert sorted(map(tuple, many.collect()), key=str) == expected
+    monkeypatch.setattr(dedup, "FILTER_BITS", 64)
+    many = dedup.keep_first(df, "message_id", "file_seq", "row_seq", max_keys=3)
+    assert sorted(map(tuple, many.collect()), key=str) == expected
+    shared = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("c", None, "n"), ("c", 1, "m"), (None, 3, "q")],
+        "id string, place int, t string")
+    for max_keys in (10, 0):
+        kept = dedup.keep_first(shared, "id", "place", max_keys=max_keys)
+        assert sorted(map(tuple, kept.collect()), key=str) == [
+            ("a", 1, "x"), ("b", 1, "z"), ("c", None, "n"), (None, 3, "q")]
+    assert dedup.keep_first(df.limit(0), "message_id", "row_seq").count() == 0
 
 
 def test_blocklist_both_ways(spark):
@@ -63,6 +91,28 @@ def test_lookups_do_not_depend_on_size(spark):
     assert Counter(r.text for r in kept.collect()) == {"Hans fragt": 2, None: 1, "nichts": 1}
 
 
+def test_only_the_used_part_of_a_large_lookup_goes_out(spark):
+    df = spark.createDataFrame([(i, f"der Hans {i}") for i in range(50)] + [(99, None)], "id int, text string")
+    names = spark.range(100_000).select(F.concat(F.lit("N"), "id").alias("token"), F.lit("<N>").alias("tag")).unionByName(
+        spark.createDataFrame([("HANS", "<VORNAME>")], "token string, tag string"))
+    tagged = lexicon.tag_tokens(df, "text", names, "id", max_rows=10)
+    plan = _plan(tagged)
+    assert "ArrowEvalPython" in plan and "Join" not in plan and "Exchange" not in plan
+    assert {r.text for r in tagged.filter("id < 3").collect()} == {f"der <VORNAME> {i}" for i in range(3)}
+    assert tagged.filter("id = 99").first().text is None
+    # joined: the tokens cross under narrow ids, and null texts are rows like any other
+    joined = lexicon.tag_tokens(df, "text", names, "id", max_rows=0)
+    assert "md5" not in _plan(joined)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, tagged.collect()))
+
+
+def test_size_estimate_keeps_large_tables_away_from_the_driver(spark):
+    from postsieve.operators.lookup import estimated_bytes
+
+    df = spark.range(1_000_000)
+    assert estimated_bytes(df) >= 8_000_000 and collect_if_small(df, max_bytes=1000) is None
+
+
 def test_lexicon_is_one_aggregate(spark):
     tables = {k: spark.createDataFrame([(w,) for w in v], "token string") for k, v in {
         "postcode": ["12345", "BERN"], "first_name": ["Anna", "Bern", "Meier", "Auto"], "surname": ["Meier", "Auto"],
@@ -137,6 +187,26 @@ def test_numbering_equals_sorting(spark):
     assert Counter(part) == Counter(df.orderBy(F.asc("v"), F.desc("id")).offset(10).limit(10).collect())
 
 
+def test_running_total_of_sparse_orders(spark):
+    """Time stamps and names as order, ties, nulls, a value that holds a third of the rows."""
+    rng = random.Random(2)
+    rows = [(None if i % 97 == 0 else 1_500_000_000 if i % 3 == 0 else rng.randrange(2_000_000_000), i % 11) for i in range(2000)]
+    df = spark.createDataFrame(rows, "s long, v long").withColumn("t", F.timestamp_seconds("s"))
+    got = ordering.running_total(df, "t", "v", block=100).collect()
+    first = lambda s: -1 if s is None else s
+    expected = {s: sum(v for r, v in rows if first(r) <= first(s)) for s in {r[0] for r in rows}}
+    assert len(got) == len(rows) and all(r.total == expected[r.s] for r in got)
+    by_name = ordering.running_total(spark.createDataFrame([("b", 2), ("a", 1), ("c", 4)], "n string, v int"), "n", "v", block=1)
+    assert sorted((r.n, r.total) for r in by_name.collect()) == [("a", 1), ("b", 3), ("c", 7)]
+
+
+def test_blocks_of_a_running_total_follow_the_rows(spark):
+    sums = spark.range(5000).select(F.pow(F.lit(1.003), "id").alias("o"), F.lit(1).alias("v"))
+    parts = sums.repartitionByRange(-(-5000 // 500), "o").groupBy(F.spark_partition_id()).count()
+    assert parts.agg(F.max("count")).first()[0] < 1000  # by value nearly all would share the first block
+    assert ordering.running_total(sums, "o", "v", block=500).agg(F.max("total")).first()[0] == 5000
+
+
 def test_sample_does_not_depend_on_partitions(spark):
     df = spark.range(1000)
     a = ordering.sample_rows(df.repartition(3), 5, "id", 1).collect()
@@ -210,6 +280,89 @@ def test_save_and_read_back(spark, tmp_path):
     assert spark.read.parquet(table_path).first() == df.first()
 
 
+def test_null_and_empty_texts_are_told_apart(spark, tmp_path):
+    df = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, " a ", None)], "i int, t string, u string")
+    text_path, _ = sinks.save_container(df, str(tmp_path))
+    assert sorted(map(tuple, sinks.read_saved_text(spark, text_path, df.schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_failed_save_leaves_nothing(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1,)], "a int")
+
+    def fail(_):
+        raise OSError("second write")
+
+    monkeypatch.setattr(sinks, "as_text_columns", fail)
+    with pytest.raises(OSError, match="second write"):
+        sinks.save_container(df, str(tmp_path))
+    assert list(tmp_path.iterdir()) == []
+    monkeypatch.undo()
+    paths = sinks.save_container(df, str(tmp_path))
+    with pytest.raises(FileExistsError):
+        sinks.save_container(df, str(tmp_path))
+    assert [spark.read.parquet(paths[1]).count(), len([p for p in tmp_path.iterdir() if not p.name.startswith(".")])] == [1, 2]
+
+
+def test_a_failed_move_is_undone(spark, tmp_path):
+    from postsieve.sources.publish import publish
+
+    for name in ("a", "b", "taken"):
+        (tmp_path / name).write_text(name)
+    with pytest.raises(FileExistsError):
+        publish(spark, [(f"{tmp_path}/a", f"{tmp_path}/moved"), (f"{tmp_path}/b", f"{tmp_path}/taken")])
+    assert sorted(p.name for p in tmp_path.iterdir() if p.suffix != ".crc") == ["a", "b", "taken"]
+    assert (tmp_path / "taken").read_text() == "taken"
+
+
+def test_earlier_stages_are_kept(spark, tmp_path):
+    folder = str(tmp_path)
+    sinks.save_stage(spark.range(3), folder, "selected")
+    assert sinks.save_stage(spark.range(5), folder, "selected").count() == 5
+    assert sinks.stage_versions(spark, folder, "selected") == [1, 2]
+    assert sinks.load_stage(spark, folder, "selected").count() == 5
+    assert sinks.load_stage(spark, folder, "selected", version=1).count() == 3
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        sinks.save_stage(broken, folder, "selected")
+    assert sinks.stage_versions(spark, folder, "selected") == [1, 2]
+    with pytest.raises(FileNotFoundError):
+        sinks.load_stage(spark, folder, "other")
+
+
+def test_step_report(spark):
+    from postsieve.operators.profiling import StepReport
+
+    steps = StepReport()
+    df = steps.count(spark.range(100), "all")
+    df = steps.count(df.filter("id % 4 = 0"), "fourth")
+    assert df.count() == 25
+    assert sorted(map(tuple, steps.table(spark).collect())) == [(1, "all", 100, 1.0), (2, "fourth", 25, 0.25)]
+
+
+def test_archives_that_lose_bytes_are_listed(spark, tmp_path):
+    head = '<?xml version="1.0" encoding="{}"?><S>{}</S>'
+    for name, content in {
+        "good": head.format("utf-8", "für").encode(), "latin": head.format("iso-8859-1", "für").encode("latin-1"),
+        "bad": head.format("utf-8", "für").encode("latin-1"), "open": b"<S><P></S>", "odd": head.format("odd-1", "x").encode(),
+        "cut": head.format("ascii", "für").encode("latin-1"),
+    }.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "Export.xml").write_bytes(content)
+    errors = files.archive_errors(files.scan_archives(spark, str(tmp_path)))
+    assert {r.path.split("/")[-2]: r.error for r in errors.collect()} == {
+        "bad": "malformed bytes", "open": "not well-formed", "odd": "unknown charset", "cut": "malformed bytes"}
+
+
+def test_entities_in_a_text(spark):
+    from postsieve.operators.spans import mask_entities
+
+    df = spark.createDataFrame([("Anna wohnt in Ulm",), ("nichts",), (None,)], "t string")
+    entities = lambda t: F.when(t.startswith("Anna"), F.array(F.struct(
+        F.lit(0).alias("start"), F.lit(4).alias("end"), F.lit("PER").alias("label"))))
+    assert [r.t for r in mask_entities(df, "t", entities).collect()] == ["<PER> wohnt in Ulm", "nichts", None]
+    assert mask_entities(df, "t", None) is df
+
+
 def test_normalize_names(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int").toDF(" Stapel ID ", "Auto matisch x")
     assert normalize_names(df).columns == ["STAPEL_ID", "AUTOMATISCH_X"]

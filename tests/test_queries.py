@@ -77,3 +77,30 @@ def test_blocklist_check_does_not_shuffle(spark):
     kept = drop_listed(ctx("documents").select("doc_id", "text"), "text", _blocklist(ctx), "doc_id")
     plan = _plan(kept)
     assert "Exchange" not in plan and "ArrowEvalPython" in plan
+
+
+def test_bodies_are_read_once(spark, tmp_path):
+    """The medians come from the index and the keys of the bodies."""
+    from postsieve.plans.capture_corpus import build_capture_corpus
+
+    ctx = Context(spark, SF_DIR)
+    for name in ("fx_index", "fx_body"):
+        ctx(name).write.parquet(f"{tmp_path}/{name}")
+    index, body = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("fx_index", "fx_body"))
+    plan = build_capture_corpus((index, body))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<doc_key:string,rawbody:string>") == 1
+    assert "median" in plan and plan.count("rawbody:string") == 1
+
+
+def test_pair_and_joined_table_give_the_same(spark):
+    from postsieve.operators.joins import align_index_and_body
+    from postsieve.plans.capture_corpus import parse_capture, rejected_capture
+
+    ctx = Context(spark, SF_DIR)
+    pair = (ctx("fx_index"), ctx("fx_body"))
+    joined = align_index_and_body(*pair, complete=True)
+    for tagged_only in (True, False):
+        left, right = parse_capture(pair, tagged_only), parse_capture(joined, tagged_only)
+        columns = [c for c in left.columns]
+        assert left.exceptAll(right.select(*columns)).count() == 0 and left.count() == right.count()
+        assert rejected_capture(pair, tagged_only).count() == rejected_capture(joined, tagged_only).count()
