@@ -11,6 +11,7 @@ from postsieve.sources.messages import (
     header_fields,
     message_errors,
     parse_messages,
+    read_headers,
     read_message_batch,
     to_container,
 )
@@ -105,8 +106,15 @@ def s9_first(ctx: Context):
     f"concat('<', cast(o_orderkey as string), '@mail.example>') as umid {_GOOD}",
 )
 def m1(ctx: Context):
-    parsed = _parsed(ctx)
-    return header_fields(parsed.filter("error is null"))
+    return read_headers(raw_messages(ctx)).filter("date is not null")
+
+
+@query(
+    "m1_parsed_header_fields",
+    f"select {_MID} as mid, {_RAW_SUBJECT} as sub, {_DATE} as date, {_TIME} as time {_GOOD}",
+)
+def m1_parsed(ctx: Context):
+    return header_fields(_parsed(ctx).filter("error is null")).select("mid", "sub", "date", "time")
 
 
 @query(

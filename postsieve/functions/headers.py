@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postsieve.functions.charset import decode_body
+from postsieve.functions.rewrite import bind
 
 #: attachment count of mails whose attachments were not read
 NOT_READ = 999
@@ -15,6 +16,54 @@ GENERATED_NAME = "msg-part"
 UNKNOWN_ENCODING = "unknown"
 
 
+# Names of the header fields that are kept.
+HEADER_NAMES = {
+    "to": "To", "from": "From", "cc": "Cc", "bcc": "Bcc", "sub": "Subject", "date_raw": "Date",
+    "ctype": "Content-Type", "cte": "Content-Transfer-Encoding", "umid": "Message-ID",
+}
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_DATE = (
+    r"(?i)^\s*(?:[a-z]+\s*,\s*)?(\d{1,2})\s+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+(\d{4})"
+    r"\s+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s|$)"
+)
+
+
+def header_block(content: Column) -> Column:
+    """The header lines of a raw message, up to its first empty line; UTF-8, else ISO-8859-1."""
+    text = content.cast("string")
+    text = F.when(F.is_valid_utf8(text), text).otherwise(F.decode(content, "iso-8859-1"))
+
+    def before(text: Column) -> Column:
+        ends = [F.nullif(F.locate(end, text), F.lit(0)) for end in ("\n\n", "\r\n\r\n")]
+        end = F.when(F.regexp_like(F.substring(text, 1, 2), F.lit(r"^\r?\n")), F.lit(1)).otherwise(F.least(*ends))
+        return F.when(end.isNull(), text).otherwise(F.substring(text, F.lit(1), end - 1))
+
+    return bind(text, before)
+
+
+def header_value(block: Column, name: str) -> Column:
+    """Value of the first header of a name, folded lines included; null if there is none."""
+    pattern = rf"(?dim)^{name}:[ \t]*([^\r\n]*(?:\r?\n[ \t][^\r\n]*)*)"
+    return F.get(F.regexp_extract_all(block, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
+def header_columns(block: Column) -> dict[str, Column]:
+    """The kept header fields of a header block."""
+    return {name: header_value(block, title) for name, title in HEADER_NAMES.items()}
+
+
+def sent_time(date_raw: Column) -> Column:
+    """The sender's own clock of a date in the form of RFC 2822, the offset dropped; null for other forms."""
+    def part(n: int) -> Column:
+        return F.regexp_extract(date_raw, _DATE, n)
+
+    month = ((F.instr(F.lit(_MONTHS), F.lower(part(2))) + 2) / 3).cast("int")
+    clock = F.concat(
+        part(3), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"), F.lpad(part(1), 2, "0"), F.lit(" "),
+        F.lpad(part(4), 2, "0"), F.lit(":"), part(5), F.lit(":"), F.coalesce(F.nullif(part(6), F.lit("")), F.lit("00")))
+    return F.when(date_raw.rlike(_DATE), F.try_to_timestamp(clock, F.lit("yyyy-MM-dd HH:mm:ss")))
+
+
 def format_date(timestamp: Column) -> Column:
     """``dd-mm-yyyy``."""
     return F.date_format(timestamp, "dd-MM-yyyy")

@@ -1,19 +1,19 @@
 """Raw messages (RFC 822 bytes) to mail containers.
 
-MIME structure cannot be expressed with columns, so the messages of an Arrow
-batch are parsed in Python; everything that follows from the parsed fields is
-a column expression.
+Headers and the usual form of dates are read by column expressions.  MIME
+structure, and dates of any other form, cannot be expressed with columns, so
+the messages of an Arrow batch are parsed in Python; everything that follows
+from the parsed fields is a column expression again.
 """
 
 from __future__ import annotations
 
 import email
 import mimetypes
-from collections.abc import Iterator
 from email.header import decode_header, make_header
 from email.message import Message
 
-import pandas as pd
+import pyarrow as pa
 from dateutil import parser as date_parser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,16 +21,12 @@ from pyspark.sql import functions as F
 from postsieve.functions import headers as H
 from postsieve.functions.headers import GENERATED_NAME
 from postsieve.schemas import HEADER, MAIL_CONTAINER
+from postsieve.session import new_folder
 
-_PARSED = (
-    "mid string, `to` string, `from` string, cc string, bcc string, sub string, "
-    "date_raw string, sent string, ctype string, cte string, umid string, "
-    "encoding string, subject string, body binary, files array<string>, error string"
-)
-
-
-def _text(value) -> str | None:
-    return None if value is None else str(value)
+_MIME = "struct<sent:string,encoding:string,subject:string,body:binary,files:array<string>,error:string>"
+_MIME_ARROW = pa.struct([
+    ("sent", pa.string()), ("encoding", pa.string()), ("subject", pa.string()), ("body", pa.binary()),
+    ("files", pa.list_(pa.string())), ("error", pa.string())])
 
 
 def _first_part(message: Message) -> bytes | None:
@@ -60,56 +56,59 @@ def _attachment_names(message: Message) -> list[str]:
     return [_part_name(part, number) for number, part in enumerate(parts, start=1)]
 
 
-def _parse(mid: str, content: bytes, attachments: bool) -> dict:
+def _parse(content: bytes, sent_known: bool, attachments: bool) -> dict:
     message = email.message_from_bytes(content)
-    raw_subject = message["subject"]
-    fragments = decode_header(raw_subject)
-    encoding = fragments[0][1]
+    fragments = decode_header(message["subject"])
     subject = str(make_header([
         (text.decode("ascii", "replace"), None) if isinstance(text, bytes) and not charset else (text, charset)
         for text, charset in fragments
     ]))
     # the sender's own clock: the offset is dropped, not converted
-    sent = date_parser.parse(message["date"]).replace(tzinfo=None)
+    sent = None if sent_known else date_parser.parse(message["date"]).replace(tzinfo=None)
     return {
-        "mid": mid,
-        **{name: _text(message[name]) for name in ("to", "from", "cc", "bcc")},
-        "sub": _text(raw_subject),
-        "date_raw": _text(message["date"]),
-        "sent": sent.strftime("%Y-%m-%d %H:%M:%S"),
-        "ctype": _text(message["content-type"]),
-        "cte": _text(message["content-transfer-encoding"]),
-        "umid": _text(message["message-id"]),
-        "encoding": encoding,
-        "subject": subject,
-        "body": _first_part(message),
-        "files": _attachment_names(message) if attachments else [],
-        "error": None,
+        "sent": sent and sent.strftime("%Y-%m-%d %H:%M:%S"), "encoding": fragments[0][1], "subject": subject,
+        "body": _first_part(message), "files": _attachment_names(message) if attachments else [],
     }
 
 
-def _parser(attachments: bool):
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0].strip("`") for part in _PARSED.split(", ")]
-        for batch in batches:
-            rows = []
-            for mid, content in zip(batch["mid"], batch["content"]):
-                try:
-                    rows.append(_parse(mid, bytes(content), attachments))
-                except Exception as error:  # noqa: BLE001 - listed, not fatal
-                    rows.append({"mid": mid, "error": f"{type(error).__name__}: {error}"})
-            yield pd.DataFrame(rows, columns=names).astype(object).where(
-                lambda frame: frame.notna(), None
-            )
+def _mime(attachments: bool):
+    """Arrow function: subject, first part and attachment names of messages, or why there are none."""
+
+    @F.arrow_udf(_MIME)
+    def parse(contents: pa.Array, sent_known: pa.Array) -> pa.Array:
+        rows = []
+        for content, known in zip(contents.to_pylist(), sent_known.to_pylist(), strict=True):
+            try:
+                rows.append(_parse(bytes(content), known, attachments))
+            except Exception as error:  # noqa: BLE001 - listed, not fatal
+                rows.append({"error": f"{type(error).__name__}: {error}"})
+        return pa.array(rows, _MIME_ARROW)
 
     return parse
 
 
+def read_headers(messages: DataFrame) -> DataFrame:
+    """The eleven header fields of (mid, content), by column expressions alone.
+
+    Date and time are null where the date has not the form of RFC 2822.
+    """
+    fields = messages.select("mid", H.header_block(F.col("content")).alias("__head"))
+    found = fields.select("mid", *[c.alias(name) for name, c in H.header_columns(F.col("__head")).items()])
+    sent = H.sent_time(F.col("date_raw"))
+    return found.withColumns({"date": H.format_date(sent), "time": H.format_time(sent)}).select(
+        "mid", *[F.col(f"`{f.name}`") for f in HEADER])
+
+
 def parse_messages(messages: DataFrame, attachments: bool = True) -> DataFrame:
-    """(mid, content) to parsed fields plus ``error``, one row per message."""
-    parsed = messages.select("mid", "content").mapInPandas(_parser(attachments), _PARSED)
-    sent = F.try_to_timestamp("sent", F.lit("yyyy-MM-dd HH:mm:ss"))
-    return parsed.withColumns({"date": H.format_date(sent), "time": H.format_time(sent)})
+    """(mid, content) to header and parsed fields plus ``error``, one row per message."""
+    headed = messages.select("mid", "content", H.header_block(F.col("content")).alias("__head"))
+    headed = headed.select("mid", "content", *[c.alias(name) for name, c in H.header_columns(F.col("__head")).items()])
+    headed = headed.withColumn("__sent", H.sent_time(F.col("date_raw")))
+    parsed = headed.withColumn("__mime", _mime(attachments)(F.col("content"), F.col("__sent").isNotNull()))
+    sent = F.coalesce("__sent", F.try_to_timestamp("__mime.sent", F.lit("yyyy-MM-dd HH:mm:ss")))
+    return parsed.withColumns({"date": H.format_date(sent), "time": H.format_time(sent)}).select(
+        "mid", *[F.col(f"`{f.name}`") for f in HEADER],
+        *[F.col(f"__mime.{name}").alias(name) for name in ("encoding", "subject", "body", "files", "error")])
 
 
 def header_fields(parsed: DataFrame) -> DataFrame:
@@ -147,10 +146,15 @@ def read_message_batch(
 ) -> tuple[DataFrame, DataFrame]:
     """Container and error list of the first ``nbr`` messages by id, or of all.
 
-    The ids are sorted alone; contents are read for the chosen ids only.
+    The ids are sorted alone; contents are read for the chosen ids only.  Every
+    message is parsed once: what comes of it is written to the shared folder,
+    and both results read that.
     """
     if nbr != "all":
         chosen = messages.select("mid").orderBy("mid").limit(int(nbr))
         messages = messages.join(chosen, "mid", "left_semi")
+    spark, path = messages.sparkSession, new_folder(messages.sparkSession, "messages")
     parsed = parse_messages(messages, attachments)
+    parsed.write.parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
     return to_container(parsed, attachments), message_errors(parsed)

@@ -66,6 +66,67 @@ def test_header_fields(spark, tmp_path):
     assert row.bcc is None and row.ctype.startswith("text/plain")
 
 
+def test_headers_without_python(spark):
+    """Folded, missing, empty and repeated headers, both line ends, other charsets: as the mail library reads them."""
+    import email
+
+    from dateutil import parser as date_parser
+
+    from postsieve.functions.headers import HEADER_NAMES
+    from postsieve.sources.messages import read_headers
+
+    dates = [DATE, "5 May 2020 7:03 GMT", "Mon, 01 Jan 2018 23:59:59 -0800 (PST)", "Tue,  5 MAY 2020 01:02:03 +0000"]
+    others = ["2020-05-05 10:00", "Tue, 31 Feb 2020 10:00:00 +0000", "", "Tue, 05 May 20 10:00:00 +0000"]
+    messages = [f"From: a\nDate: {d}\nSubject: s\n\nSubject: body".encode() for d in [*dates, *others]]
+    messages += [
+        b"SUBJECT:  folded\r\n\tover lines \r\nto:x\r\nTo: y\r\nCc:\r\n\r\nBcc: z",
+        b"Subject:\n begins later\nFrom: a\nX-Subject: other\nMessage-ID: <1>\n\nx\n\ny",
+        "Subject: Grüße\nFrom: ä\n\n".encode(), b"\n\nSubject: body", b"\r\nSubject: body", b"", b"Subject: end",
+        b"Subject: a: b: c\nContent-Type: text/plain;\n charset=x\nContent-Transfer-Encoding: 8bit",
+    ]
+    df = spark.createDataFrame([(str(i), bytearray(m)) for i, m in enumerate(messages)], "mid string, content binary")
+    headers = read_headers(df)
+    assert "Python" not in headers._jdf.queryExecution().executedPlan().toString()
+    got = {int(r.mid): r for r in headers.collect()}
+    for i, message in enumerate(messages):
+        known = email.message_from_bytes(message)
+        for name, title in HEADER_NAMES.items():
+            value = known[title]
+            if value is None or str(value).isascii() and "\ufffd" not in str(value):
+                assert got[i][name] == value, (i, name)
+    for i, date in enumerate(dates):
+        sent = date_parser.parse(date)
+        assert (got[i].date, got[i].time) == (sent.strftime("%d-%m-%Y"), sent.strftime("%H:%M:%S"))
+    assert all(got[len(dates) + i].date is None for i in range(len(others)))
+    # the parser knows other forms of dates too
+    parsed = {int(r.mid): r for r in parse_messages(df).collect()}
+    assert (parsed[4].date, parsed[4].time, parsed[4].error) == ("05-05-2020", "10:00:00", None)
+    assert parsed[5].error and parsed[5].date is None
+
+
+def test_messages_are_parsed_once(spark, tmp_path):
+    _write(tmp_path)
+    for result in ingest_messages(spark, str(tmp_path)):
+        assert "Python" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_arrival_in_load_order(spark, tmp_path):
+    """Of one trigger the first in load order; an earlier trigger goes before."""
+    schema = "message_id string, file_seq int, row_seq int, body string"
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(source)
+        stream = daily.keep_first_arrival(daily.stream_containers(spark, source, schema))
+        daily.append_new(stream, target, progress).awaitTermination()
+        return sorted((r.message_id or "", r.body) for r in spark.read.schema(schema).parquet(target).collect())
+
+    first = [("a", 1, 2, "late"), ("a", 1, 1, "first"), ("b", 2, 1, "b"), (None, 1, 5, "no id"), (None, 1, 4, "no id first")]
+    known = [("", "no id first"), ("a", "first"), ("b", "b")]
+    assert arrive(*first) == known
+    assert arrive(("a", 3, 1, "again"), ("c", 3, 2, "c")) == [*known, ("c", "c")]
+
+
 def test_archive_files(spark, tmp_path):
     xml = ('<?xml version="1.0"?><S StackID="1"><PROCESS ProcessID="p"><DOCUMENT DocID="d" ExportName="T" AlteredBy="A">'
            '<FIELD Name="imp_EDOC-isBody" Value="1"/><FIELD Name="imp_EDOC-Body" Value="B"/></DOCUMENT></PROCESS></S>')
