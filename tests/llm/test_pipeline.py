@@ -11,7 +11,7 @@ from postsieve.llm.base import staged
 from postsieve.llm.queries import tokenizer_path
 from tests.llm.conftest import make_rows
 from tests.llm.test_dedup import brute_bytes
-from tests.llm.test_operators import n_words
+from tests.llm.test_llm_operators import n_words
 
 
 def test_stages(spark, docs, tmp_path):
