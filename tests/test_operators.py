@@ -242,6 +242,30 @@ def test_archives(spark):
     assert everything.filter("channel is not null").count() == 0
 
 
+def test_first_body_at_any_depth(spark):
+    """Fields of one name at several depths, in either order: the first in the file counts."""
+    field = lambda n, v: f'<FIELD Name="imp_EDOC-{n}" Value="{v}"/>'
+    deep = f'<A><B><C>{field("Subject", "deep")}</C></B>{field("From", "a")}</A>'
+    rows = {
+        "deep": _document("d", 1, deep + field("Body", "b")),
+        "late": _document("d", 1, deep + field("Subject", "near") + field("From", "n")),
+        "early": _document("d", 1, field("Subject", "near") + deep),
+        "twice": _document("d", 1, f'<B>{field("Subject", "1")}</B><A>{field("Subject", "2")}</A><B>{field("Subject", "3")}</B>'),
+        "flag below": _document("d", 0, "<A>" + field("isBody", 1) + "</A>" + field("Subject", "s")),
+        "empty": "",
+    }
+    texts = [(k, f'<S StackID="1"><PROCESS ProcessID="p">{d}</PROCESS></S>') for k, d in rows.items()]
+    df = spark.createDataFrame([*texts, ("broken", "<S><PROCESS>"), ("nothing", None)], "file string, xml string")
+    assert set(archive.field_nesting(df)) == {"A", "B", "A/B/C"}
+    got = {r.file: (r.subject, r["from"], r.body) for r in archive.first_body(df).collect()}
+    assert got == {
+        "deep": ("deep", "a", "b"), "late": ("deep", "a", None), "early": ("near", "a", None),
+        "twice": ("1", None, None), "flag below": ("s", None, None)}
+    plan = _plan(archive.first_body(df))
+    assert plan.count("from_xml(") == 1 and "Exchange" not in plan
+    assert archive.field_nesting(df.limit(0)) == ()
+
+
 def test_files_and_invalid_utf8(spark, tmp_path):
     deep = tmp_path / "a" / "b"
     deep.mkdir(parents=True)
