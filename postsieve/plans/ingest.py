@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from postsieve.functions import headers as H
-from postsieve.operators.archive import bodies_in_row, first_body
+from postsieve.operators.archive import ARCHIVE_COLUMNS, field_nesting, parse_archives
 from postsieve.schemas import MAIL_CONTAINER
-from postsieve.sources.files import archive_errors, scan_archives, scan_messages
+from postsieve.session import new_folder
+from postsieve.sources.files import scan_archives, scan_messages
 from postsieve.sources.messages import read_message_batch
 
 
@@ -26,15 +26,21 @@ def ingest_archives(
 ) -> tuple[DataFrame, DataFrame]:
     """Mail bodies of the archives below ``root``, and the archives that cannot be read.
 
-    With the elements that may enclose fields named in ``wrappers``, a file is
-    parsed once; without, fields are found at any depth, first body only.
+    Elements that may enclose fields are named in ``wrappers``, or found by one
+    pass over the files.  Every archive is then parsed once: what comes of it
+    is written to the shared folder, and both results read that.
     """
     archives = scan_archives(spark, root, name)
-    if wrappers is None:
-        if all_bodies:
-            raise ValueError("all_bodies needs the enclosing elements in wrappers")
-        return first_body(archives), archive_errors(archives)
-    return bodies_in_row(archives, wrappers=wrappers, all_bodies=all_bodies), archive_errors(archives)
+    nesting = field_nesting(archives) if wrappers is None else wrappers
+    parsed = parse_archives(archives.withColumn("file", F.struct("file", "error")), wrappers=nesting, all_bodies=all_bodies)
+    path = new_folder(spark, "archives")
+    parsed.select("file.file", "file.error", *parsed.columns[1:]).write.parquet(path)
+    written = spark.read.parquet(path)
+    error = F.coalesce("error", F.when(F.col("broken"), "not well-formed"))
+    return (
+        written.filter("has_body").select("file", *ARCHIVE_COLUMNS),
+        written.select(F.col("file").alias("path"), error.alias("error")).filter("error is not null"),
+    )
 
 
 def archive_container(mails: DataFrame, received_format: str, key: str = "file") -> DataFrame:
