@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +37,33 @@ def word_count(text: Column) -> Column:
 def as_bytes(value) -> bytes:
     """UTF-8 bytes of one text, empty for null."""
     return b"" if value is None else str(value).encode("utf-8", "surrogatepass")
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` on batches; at its end the worker process returns its free memory.
+
+    Worker processes serve one task after another, so what a stage leaves
+    allocated would otherwise be missing in all later ones.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return whole
+
+
+def release_memory() -> None:
+    """Free memory of this process back to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -22,14 +22,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postsieve.llm.base import releasing
+
 #: split of a text into words before the merges (fixed value of byte-level BPE)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: letters and white space of texts for which a pattern of plain ranges splits alike
 _LETTERS, _SPACE = "A-Za-zÀ-ÖØ-öø-ɏ", "\\t\\n\\r "
 _PLAIN = rf"[{_SPACE}!-~À-ÖØ-öø-ɏ]*"
 _PLAIN_PATTERN = rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^{_SPACE}0-9{_LETTERS}]+|\s+(?!\S)|\s+"
-#: words and arcs a worker keeps before it starts over
-MAX_KEPT = 200_000
+#: bytes of memory for the words a worker keeps before it starts over (with what an entry of a
+#: dictionary takes), and pairs of tokens
+KEPT_BYTES, ENTRY_BYTES, MAX_PAIRS = 48 << 20, 200, 200_000
 _SHIFT = 20
 
 
@@ -54,6 +57,7 @@ class Automaton:
     longest: int
     seen: dict[int, bool] = field(default_factory=dict)
     words: dict[str, bytes] = field(default_factory=dict)
+    kept: int = 0
 
     def open(self, state: int, arc: int, limit: int = 1 << 60) -> bool:
         """Whether ``arc`` leaves ``state`` when the merges below ``limit`` are in."""
@@ -74,7 +78,7 @@ class Automaton:
         place = state << _SHIFT | arc
         known = self.seen.get(place)
         if known is None:
-            if len(self.seen) >= 2 * MAX_KEPT:
+            if len(self.seen) >= MAX_PAIRS:
                 self.seen.clear()
             known = self.seen[place] = self.open(state, arc)
         return known
@@ -195,10 +199,12 @@ def _encoder(machine: Automaton):
 
     def plain(part: str) -> bytes:
         found = (split_plain if is_plain(part) else split)(part)
-        if len(words) > MAX_KEPT:
+        if machine.kept > KEPT_BYTES:
             words.clear()
+            machine.kept = 0
         for word in set(found).difference(words):
-            words[word] = np.array(machine.read(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+            ids = words[word] = np.array(machine.read(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+            machine.kept += 2 * len(word) + len(ids) + ENTRY_BYTES
         return b"".join(map(words.__getitem__, found))
 
     def one(content) -> bytes:
@@ -255,7 +261,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                     [*part.columns, pa.array(ids, pa.binary()), pa.array(map(decode, ids), pa.string())],
                     names=[*rest, "ids", "decoded"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in rest]).mapInArrow(releasing(run), schema)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

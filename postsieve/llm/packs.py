@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.base import staged
+from postsieve.llm.base import releasing, staged
 
 #: bytes of text in a pack; a longer document is a pack of its own
 PACK_BYTES = 1 << 20
@@ -61,7 +61,7 @@ def packed(docs: DataFrame, text: str = "text") -> DataFrame:
         if held:
             yield flush()
 
-    return staged(docs.mapInArrow(run, _SCHEMA), "packs")
+    return staged(docs.mapInArrow(releasing(run), _SCHEMA), "packs")
 
 
 def unpacked(data: bytes) -> pa.Table:
@@ -132,7 +132,7 @@ def joined(packs: DataFrame, notes: DataFrame, fn: Callable, schema) -> DataFram
                 found = batch["notes"].slice(i, 1).flatten()
                 yield from fn(batch["pack"][i].as_py(), unpacked(batch["data"][i].as_py()), found)
 
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(releasing(run), schema)
 
 
 def mapped(packs: DataFrame, fn: Callable, schema) -> DataFrame:
@@ -143,7 +143,7 @@ def mapped(packs: DataFrame, fn: Callable, schema) -> DataFrame:
             for i in range(len(batch)):
                 yield from fn(batch["pack"][i].as_py(), unpacked(batch["data"][i].as_py()))
 
-    return packs.mapInArrow(run, schema)
+    return packs.mapInArrow(releasing(run), schema)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[tuple[pa.Table, bool]]:
