@@ -16,10 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from postsieve.llm.base import staged
+from postsieve.llm import packs as pk
+from postsieve.llm.base import as_bytes, releasing, staged
 from postsieve.llm.components import components
 
 #: contract of the near-duplicate stage: shingle length and largest distance
@@ -145,7 +148,7 @@ def _link_cells(max_bits: int):
         if held is not None and len(held):
             yield one(held)
 
-    return run
+    return releasing(run)
 
 
 def fingerprint_links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -201,33 +204,44 @@ def near_duplicates(
     return prints.join(named, "fp").select(F.col("key").alias(key), "fp", "root", "component_id")
 
 
+_PLACES = "pack long, place int, fp long, digest binary"
+
+
+def _fingerprinted(key: str, text: str, shingle: int):
+    """Place, key, fingerprint and digest of every document of a pack."""
+    import xxhash
+
+    def run(pack: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        contents = [as_bytes(t) for t in table[text].to_pylist()]
+        prints = np.array([simhash(c, shingle) for c in contents], np.uint64).view(np.int64)
+        n = len(contents)
+        yield pa.record_batch([
+            pa.array(np.full(n, pack)), pa.array(np.arange(n, dtype=np.int32)), pa.array(prints),
+            pa.array([xxhash.xxh3_128_digest(c) for c in contents], pa.binary()), table[key].combine_chunks()],
+            names=["pack", "place", "fp", "digest", "key"])
+
+    return run
+
+
 def one_per_group(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """The documents of ``docs`` without near-duplicates, same columns.
 
     Of each group the row with the smallest key stays (a null key is the
-    largest); of rows that repeat key and fingerprint the one with the smallest
-    text.
+    largest); of rows that repeat it, one, chosen by fingerprint and a digest
+    of the text.  Texts stay in their packs: only places, keys and fingerprints
+    go through the search.
     """
-    rows = near_duplicates(docs, key, text, shingle, max_bits).withColumnRenamed(key, "__key")
-    order = F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("key"), "fp")
-    kept = rows.groupBy("root").agg(F.min(order).alias("k"))
-    repeats = rows.groupBy(F.col("__key").alias("key"), "fp").agg(F.count("*").alias("copies"))
-    keep = staged(
-        kept.select(F.col("k.key").alias("key"), F.col("k.fp").alias("fp")).alias("k").join(
-            repeats.alias("r"), F.col("k.key").eqNullSafe(F.col("r.key")) & (F.col("k.fp") == F.col("r.fp"))
-        ).select(F.col("k.key").alias("__key"), F.col("k.fp").alias("__fp"), "copies"),
-        "keep",
-    )
-    same_key = docs[key].eqNullSafe(F.col("__key"))
-    unique_key = staged(rows.groupBy("__key").agg(F.count("*").alias("n")).filter("n = 1").select("__key"), "unique")
-    # keys that occur once need no fingerprint again
-    plain = docs.join(keep.join(unique_key, "__key", "left_semi"), same_key, "left_semi")
-    other = keep.join(unique_key, "__key", "left_anti")
-    again = docs.join(other.select("__key").distinct(), same_key, "left_semi").withColumn(
-        "__print", fingerprint(F.col(text), shingle))
-    found = again.join(other, again[key].eqNullSafe(F.col("__key")) & (F.col("__print") == F.col("__fp")), "left_semi")
-    first = Window.partitionBy(key, "__print").orderBy(text)
-    found = found.withColumn("__nr", F.row_number().over(first)).filter("__nr = 1").drop("__nr", "__print")
-    return plain.unionByName(found)
+    packs = pk.packed(docs, text)
+    kind = T.StructType.fromDDL(_PLACES).add("key", docs.schema[key].dataType)
+    prints = staged(pk.mapped(packs, _fingerprinted(key, text, shingle), kind), "prints")
+    groups = staged(fingerprint_groups(prints.select("fp").distinct(), max_bits), "groups")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "fp", "digest", "pack", "place")
+    best = prints.join(groups, "fp").groupBy("root").agg(F.min(order).alias("best"))
+
+    def take(_: int, table: pa.Table, kept: pa.Array) -> Iterator[pa.RecordBatch]:
+        if len(kept):
+            yield from table.take(pa.array(np.sort(kept.field("place").to_numpy()))).to_batches()
+
+    return pk.joined(packs, best.select("best.pack", "best.place"), take, docs.schema)
