@@ -3,9 +3,10 @@
 The distance of two fingerprints is at least the difference of their distances
 to any reference.  Distances to a random reference lie close together, so
 random references cannot deal fingerprints out to tasks.  References with a
-single bit can: with ``max_bits`` + 1 bands of such references, two linked
-fingerprints have equal coordinates in one whole band at least, so each band's
-coordinates (its bits) name a cell.  In a cell a table of distances to
+single bit can: with more than ``max_bits`` bands of such references, two linked
+fingerprints have equal coordinates in all but ``max_bits`` whole bands at least, so
+the coordinates (bits) of every choice of that many bands name a cell; the more
+fingerprints there are, the more bands.  In a cell a table of distances to
 many random references discards pairs by their largest coordinate difference,
 and only the survivors are compared bit by bit.
 """
@@ -13,6 +14,8 @@ and only the survivors are compared bit by bit.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -29,6 +32,8 @@ from postsieve.llm.components import components
 SHINGLE, MAX_BITS = 4, 4
 #: reference fingerprints of the distance table
 PIVOTS = 24
+#: what dealing out one key costs, in comparisons; bands tried beyond the fewest
+KEY_COST, MORE_BANDS = 500, 5
 #: members of a cell that meet as one block; larger cells go block by block
 CELL_ROWS = 2048
 _SEED = 42
@@ -151,6 +156,19 @@ def _link_cells(max_bits: int):
     return releasing(run)
 
 
+def key_bands(n: int, max_bits: int) -> int:
+    """Bands that a fingerprint is cut into so that ``n`` of them are dealt out at the least cost.
+
+    Two linked fingerprints agree in all but ``max_bits`` of the bands at least.
+    More bands make keys of more bits, so cells stay small however many
+    fingerprints there are, and more keys for each fingerprint.
+    """
+    def cost(bands: int) -> float:
+        return comb(bands, max_bits) * (KEY_COST + n / 2 ** (64 * (bands - max_bits) / bands))
+
+    return min(range(max_bits + 1, min(64, max_bits + MORE_BANDS) + 1), key=cost)
+
+
 def fingerprint_links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (u, v) that connect all fingerprints within ``max_bits`` of each other.
 
@@ -158,14 +176,14 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> Data
     end up connected; of a dense group only spanning links come out.  A cell
     with many members is dealt out as pairs of blocks.
     """
-    bands = max_bits + 1
+    bands = key_bands(fingerprints.count(), max_bits)
     edges = [round(64 * i / bands) for i in range(bands + 1)]
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("band"),
-                 F.shiftrightunsigned(F.col("fp"), lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("cell"))
-        for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False))
-    ])
-    dealt = fingerprints.select("fp", F.inline(cells))
+    cells = []
+    for i, chosen in enumerate(combinations(range(bands), bands - max_bits)):
+        mask = sum((1 << edges[j + 1]) - (1 << edges[j]) for j in chosen)
+        mask -= (mask >> 63) << 64  # as a signed long
+        cells.append(F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(mask)).alias("cell")))
+    dealt = fingerprints.select("fp", F.inline(F.array(*cells)))
     full = dealt.groupBy("band", "cell").agg(F.count("*").alias("n")).filter("n > 1").withColumn(
         "blocks", F.ceil(F.col("n") / CELL_ROWS).cast("int"))
     part = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
