@@ -14,13 +14,17 @@ block it starts again with the first.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from postsieve.llm import packs as pk
 from postsieve.llm.base import staged, word_count
 from postsieve.operators.ordering import number_rows
 
@@ -28,8 +32,10 @@ from postsieve.operators.ordering import number_rows
 BLOCK = 16
 #: rows of a source that one task lays out
 BUCKET_ROWS = 4096
-#: primes: multiples of the first that does not divide a number of blocks permute them
-STRIDES = (2_147_483_647, 1_000_003, 999_983)
+#: primes to choose a source's stride from: multiples of one that does not divide a number of blocks permute them
+STRIDES, LARGEST_STRIDE = 24, (1 << 31) - 1
+#: blocks of a source up to which products of two of them fit a long; the primes for more
+MANY_BLOCKS, FEW_STRIDES = 3_000_000_000, (1_000_003, 999_983)
 #: quotients about the last of a shard that are ranked one by one
 RANKED = 1024
 #: quotients tried for each shard in one pass over the sources
@@ -163,6 +169,37 @@ def awards(targets: DataFrame, seats: int, n_shards: int) -> DataFrame:
     return won.select("shard", "source_no", (F.col("won") - before).alias("blocks")).filter("blocks > 0")
 
 
+@cache
+def _primes(n: int, below: int) -> list[int]:
+    """The ``n`` largest primes up to ``below``."""
+    sieve = np.ones(int(below**0.5) + 2, bool)
+    sieve[:2] = False
+    for i in range(2, int(len(sieve) ** 0.5) + 1):
+        if sieve[i]:
+            sieve[i * i::i] = False
+    divisors, found = np.flatnonzero(sieve), []
+    while len(found) < n:
+        if (below % divisors[divisors < below]).all():
+            found.append(below)
+        below -= 1
+    return found
+
+
+def _stride(line: Column, source_no: Column, seed: int) -> Column:
+    """Step of a source's permutation of ``line`` blocks, drawn by the seed.
+
+    Of the primes that do not divide the number of blocks, one whose remainder
+    is a fifth to four fifths of it: neighbouring blocks then come far apart in
+    the permutation, so that no run of neighbours is taken or left together.
+    """
+    primes = F.filter(F.array(*[F.lit(p).cast("long") for p in _primes(STRIDES, LARGEST_STRIDE)]), lambda p: line % p != 0)
+    ranked = F.transform(primes, lambda p: F.struct(
+        (~(p % line / line).between(0.2, 0.8)).alias("near"), F.xxhash64(F.lit(seed), source_no, p).alias("drawn"),
+        (p % line).alias("step")))
+    few = F.when(line % FEW_STRIDES[0] != 0, FEW_STRIDES[0]).otherwise(FEW_STRIDES[1]).cast("long")
+    return F.when(line > MANY_BLOCKS, few).otherwise(F.coalesce(F.array_min(ranked)["step"], few % line))
+
+
 def plan_mix(
     records: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, passes: int = 2,
     n_shards: int = 64, seed: int = 0,
@@ -181,10 +218,7 @@ def plan_mix(
     quotas = staged(awards(wanted, seats, n_shards), "quotas")
     seated = quotas.groupBy("source_no").agg(F.sum("blocks").alias("seats"))
     line = F.greatest(F.col("line"), F.lit(1))
-    stride = F.lit(STRIDES[2])
-    for prime in STRIDES[1::-1]:
-        fits = F.col("line") % prime != 0
-        stride = F.when(fits & (F.col("line") < prime) if prime == STRIDES[0] else fits, prime).otherwise(stride)
+    stride = _stride(line, F.col("source_no"), seed)
     sources = lined.join(seated, "source_no", "left").select(
         "source", "source_no", "source_size", "rows", "target", F.col("line").alias("blocks"),
         F.coalesce("seats", F.lit(0)).cast("long").alias("seats"),
@@ -277,50 +311,45 @@ def mix_words(
     return out, mix
 
 
-def _cutter(passes: int):
-    import re
-
-    words = re.compile(rb"[^\x20\x09-\x0D]+")
-
-    @F.pandas_udf("array<string>")
-    def cut(text: pd.Series, start: pd.Series, size: pd.Series, plan: pd.DataFrame) -> pd.Series:
-        out = []
-        for content, first, n, blocks, seats, shift, stride, short, longer in zip(
-            text, start, size, *[plan[c] for c in ("blocks", "seats", "shift", "stride", "short", "longer")], strict=True
-        ):
-            copies = []
-            held = None
-            turned = longer * (short + 1)
-
-            def block_of(word):
-                return word // (short + 1) if word < turned else longer + (word - turned) // short  # noqa: B023
-
-            def first_word(j):
-                return j * short + min(j, longer)  # noqa: B023
-
-            numbers = range(block_of(first), block_of(first + n - 1) + 1) if n else range(0)
-            for turn in range(passes):
-                chosen = [j for j in numbers if (j * stride + shift) % blocks + turn * blocks < seats]
-                if len(chosen) == len(numbers):
-                    copies += [content] * bool(chosen)
-                elif chosen:
-                    if held is None:
-                        raw = content.encode("utf-8", "surrogatepass")
-                        held = [m.span() for m in words.finditer(raw)]
-                    pieces, last = [], None
-                    for j in chosen:
-                        a, b = max(first_word(j) - first, 0), min(first_word(j + 1) - first, n)
-                        if last == j - 1:
-                            pieces[-1][1] = b
-                        else:
-                            pieces.append([a, b])
-                        last = j
-                    copies.append(b" ".join(raw[held[a][0]:held[b - 1][1]] for a, b in pieces).decode(
-                        "utf-8", "surrogatepass"))
-            out.append(copies)
-        return pd.Series(out)
-
-    return cut
+#: columns of the plan that cutting a document needs
+_PLAN = ("blocks", "seats", "shift", "stride", "short", "longer")
+
+
+def _copies(words, content: str, first: int, n: int, plan: tuple, passes: int) -> list[str]:
+    """What the mix takes of one document: its text once for every pass that takes any of its blocks."""
+    blocks, seats, shift, stride, short, longer = plan
+    turned = longer * (short + 1)
+
+    def block_of(word):
+        return word // (short + 1) if word < turned else longer + (word - turned) // short
+
+    def first_word(j):
+        return j * short + min(j, longer)
+
+    copies, held = [], None
+    numbers = range(block_of(first), block_of(first + n - 1) + 1) if n else range(0)
+    for turn in range(passes):
+        chosen = [j for j in numbers if (j * stride + shift) % blocks + turn * blocks < seats]
+        if len(chosen) == len(numbers):
+            copies += [content] * bool(chosen)
+        elif chosen:
+            if held is None:
+                raw = content.encode("utf-8", "surrogatepass")
+                held = [m.span() for m in words.finditer(raw)]
+            pieces, last = [], None
+            for j in chosen:
+                a, b = max(first_word(j) - first, 0), min(first_word(j + 1) - first, n)
+                if last == j - 1:
+                    pieces[-1][1] = b
+                else:
+                    pieces.append([a, b])
+                last = j
+            copies.append(b" ".join(raw[held[a][0]:held[b - 1][1]] for a, b in pieces).decode("utf-8", "surrogatepass"))
+    return copies
+
+
+#: rows of a result batch
+_BATCH_ROWS = 256
 
 
 def mixed_documents(
@@ -330,19 +359,45 @@ def mixed_documents(
 
     Same columns as ``docs``.  A document whose blocks are all taken twice
     comes twice; of one whose blocks are taken in part, only their words
-    remain.  Documents without words have no blocks and do not come.
+    remain.  Documents without words have no blocks and do not come.  Texts
+    stay in their packs, where they are cut; only places, keys, sources and
+    sizes are laid out.
     """
     columns = docs.columns
-    inner = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
+    sized = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)],
+                        word_count(F.col(f"`{text}`")).alias("size"))
     place = {c: f"c{i}" for i, c in enumerate(columns)}
-    narrow = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    mix = plan_mix(narrow, seed=seed, **plan)
-    wide = docs.select(
-        *inner, F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
-    )
-    cut = _cutter(mix.passes)
-    taken = lay_out(wide, mix, "key", seed).filter("taken > 0").withColumn(
-        "__texts", cut(F.col(place[text]), F.col("__start"), F.col("size"), F.col("__m")))
-    return taken.withColumn("__text", F.explode("__texts")).select(
-        *[F.col("__text" if c == text else place[c]).alias(c) for c in columns]
-    )
+    packs = pk.packed(sized, place[text])
+    kinds = T.StructType.fromDDL("pack long, place int, size long").add("key", docs.schema[key].dataType).add(
+        "source", docs.schema[source].dataType)
+
+    def measure(pack: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        n = len(table)
+        yield pa.record_batch(
+            [pa.array(np.full(n, pack)), pa.array(np.arange(n, dtype=np.int32)),
+             *[table[c].combine_chunks() for c in ("size", place[key], place[source])]],
+            names=["pack", "place", "size", "key", "source"])
+
+    records = staged(pk.mapped(packs, measure, kinds), "records")
+    mix = plan_mix(records.select("source", "size"), seed=seed, **plan)
+    laid = lay_out(records, mix, "key", seed).filter("taken > 0")
+    notes = laid.select("pack", "place", F.col("__start").alias("first"), "size", *[f"__m.{c}" for c in _PLAN])
+    passes = mix.passes
+
+    def cut(_: int, table: pa.Table, found: pa.Array) -> Iterator[pa.RecordBatch]:
+        import re
+
+        words = re.compile(rb"[^\x20\x09-\x0D]+")
+        at = table.schema.get_field_index(place[text])
+        wanted = sorted(zip(*[found.field(c).to_pylist() for c in ("place", "first", "size", *_PLAN)], strict=True))
+        for start in range(0, len(wanted), _BATCH_ROWS):
+            rows, texts = [], []
+            for row, first, n, *rest in wanted[start:start + _BATCH_ROWS]:
+                copies = _copies(words, table[place[text]][row].as_py(), first, n, tuple(rest), passes)
+                rows += [row] * len(copies)
+                texts += copies
+            part = table.take(pa.array(rows, pa.int64()))
+            part = part.set_column(at, table.schema.field(at), pa.array(texts, table.schema.field(at).type))
+            yield from part.drop_columns(["size"]).rename_columns(columns).to_batches()
+
+    return pk.joined(packs, notes, cut, docs.schema)
