@@ -1,6 +1,6 @@
 """Suffix-array de-duplication with hash-compared suffix sort.
 
-A window of ``LENGTH`` bytes is repeated if a neighbour in the suffix array
+A window of ``LENGTH`` bytes (or as many as given) is repeated if a neighbour in the suffix array
 shares that many bytes.  Sorting every suffix of a corpus is not needed for
 that: each window contains an anchor, a winnowed run of ``ANCHOR`` bytes that
 depends on the window's content alone, so equal windows meet at equal anchors.
@@ -11,7 +11,9 @@ The sort is a mergesort.  Two suffixes are compared through their longest
 common extension, found by binary search over prefix polynomial hashes, so a
 comparison takes a logarithmic number of steps; the last word and the byte
 that differs are read from the texts.  Every repeat that comes out of the sort
-is verified byte by byte.
+is verified byte by byte.  Anchors that share all their surroundings are
+settled before the sort, by two 64-bit hashes: that of the anchor and that of
+the surroundings.
 
 An anchor with more different surroundings than one task sorts is not sorted:
 its windows go out one by one, with 128 bits of a hash of their bytes as key,
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +32,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.llm import packs as pk
+from postsieve.llm.base import releasing
 from postsieve.llm.substring import _spark
 
-#: bytes of a repeat, of an anchor, and how far a window reaches beyond one
+#: bytes of a repeat and of an anchor, unless others are given
 LENGTH, ANCHOR = 400, 256
-REACH = LENGTH - ANCHOR
 #: anchors that a task sorts at once, whole groups
 SORT_ROWS = 20_000
 #: odd, so its powers can be undone modulo 2^64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+
+@dataclass(frozen=True)
+class Run:
+    """What counts as a repeat: its bytes, those of its anchor, and how far a window reaches beyond one."""
+
+    length: int = LENGTH
+    anchor: int = ANCHOR
+
+    @property
+    def reach(self) -> int:
+        return self.length - self.anchor
+
+
 _FOUND = pa.schema([("hash", pa.int64()), ("around", pa.int64()), ("pack", pa.int64()), ("place", pa.int32())])
 _NOTES = pa.schema([("pack", pa.int64()), ("place", pa.int32()), ("last", pa.int32())])
 _SENT = pa.schema([("hash", pa.int64()), ("check", pa.int64()), ("pack", pa.int64()), ("place", pa.int32()),
@@ -56,8 +72,9 @@ _WINDOWS = pa.schema([("key", pa.binary()), ("pack", pa.int64()), ("place", pa.i
 class _Bytes:
     """The bytes of a pack's distinct texts and the anchors in them."""
 
-    def __init__(self, table: pa.Table, text: str):
+    def __init__(self, table: pa.Table, text: str, run: Run):
         raw, places = pk.contents(table, text)
+        self.run = run
         self.first = pk.first_copies(raw, places)
         self.copies = np.bincount(self.first, minlength=len(self.first))
         self.raw, self.places = raw, places
@@ -73,35 +90,35 @@ class _Bytes:
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of the anchors, and begin and end of their texts."""
-        n = len(self.raw)
-        if n < LENGTH:
+        n, length, anchor = len(self.raw), self.run.length, self.run.anchor
+        if n < length:
             return (np.zeros(0, np.int64),) * 3
         begin, end = self.ends()
         power = np.cumprod(np.full(n, _BASE))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.raw + np.uint64(1)) * power)])
-        mixed = (sums[ANCHOR:] - sums[:-ANCHOR]) * np.cumprod(np.full(n - ANCHOR + 1, _UNDO))
+        mixed = (sums[anchor:] - sums[:-anchor]) * np.cumprod(np.full(n - anchor + 1, _UNDO))
         mixed ^= mixed >> np.uint64(31)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(29)
         here = np.arange(len(mixed))
-        mixed[here + ANCHOR > end[:len(mixed)]] = np.iinfo(np.uint64).max
-        found = pk.winnowed(mixed, REACH + 1, here + LENGTH <= end[:len(mixed)])
+        mixed[here + anchor > end[:len(mixed)]] = np.iinfo(np.uint64).max
+        found = pk.winnowed(mixed, self.run.reach + 1, here + length <= end[:len(mixed)])
         return found, begin[found], end[found]
 
     def around(self, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How far windows reach on either side of anchors."""
-        return np.maximum(at - REACH, begin), np.minimum(at + LENGTH, end)
+        return np.maximum(at - self.run.reach, begin), np.minimum(at + self.run.length, end)
 
 
-def _find(text: str):
+def _find(text: str, span: Run):
     import xxhash
 
     def run(pack: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        texts = _Bytes(table, text)
+        texts = _Bytes(table, text, span)
         at, begin, end = texts.anchors()
         low, high = texts.around(at, begin, end)
         whole, digest = texts.whole, xxhash.xxh3_64_intdigest
-        hashes = [digest(whole[a:a + ANCHOR]) for a in at.tolist()]
+        hashes = [digest(whole[a:a + span.anchor]) for a in at.tolist()]
         around = [digest(whole[a:b], p - a) for p, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays([
             pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(np.array(around, np.uint64).view(np.int64)),
@@ -161,7 +178,7 @@ def _ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]
     yield None
 
 
-def _send(text: str):
+def _send(text: str, span: Run):
     import xxhash
 
     def run(pack: int, table: pa.Table, notes: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -171,26 +188,26 @@ def _send(text: str):
         if not chosen.any():
             return
         at, wanted = places[chosen].astype(np.int64), last[chosen] == _SORT
-        texts = _Bytes(table, text)
+        texts = _Bytes(table, text, span)
         begin, end = texts.ends()
         low, high = texts.around(at, begin[at], end[at])
-        whole = texts.whole
+        whole, anchor = texts.whole, span.anchor
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.array([xxhash.xxh3_64_intdigest(whole[a:a + ANCHOR]) for a in at.tolist()], np.uint64).view(np.int64)),
-            pa.array(np.array([xxhash.xxh64_intdigest(whole[a:a + ANCHOR]) for a in at.tolist()], np.uint64).view(np.int64)),
+            pa.array(np.array([xxhash.xxh3_64_intdigest(whole[a:a + anchor]) for a in at.tolist()], np.uint64).view(np.int64)),
+            pa.array(np.array([xxhash.xxh64_intdigest(whole[a:a + anchor]) for a in at.tolist()], np.uint64).view(np.int64)),
             pa.array(np.full(len(at), pack)), pa.array(at.astype(np.int32)), pa.array(wanted),
             pa.array([whole[a:b] for a, b in zip(low.tolist(), at.tolist(), strict=True)], pa.binary()),
-            pa.array([whole[a + ANCHOR:b] for a, b in zip(at.tolist(), high.tolist(), strict=True)], pa.binary()),
+            pa.array([whole[a + anchor:b] for a, b in zip(at.tolist(), high.tolist(), strict=True)], pa.binary()),
         ], schema=_SENT)
 
     return run
 
 
 class Suffixes:
-    """Strings of at most ``REACH`` bytes in groups, compared by hashed extensions."""
+    """Strings of at most ``reach`` bytes in groups, compared by hashed extensions."""
 
-    def __init__(self, strings: list[bytes], group: np.ndarray):
-        n, words = len(strings), -(-REACH // 8)
+    def __init__(self, strings: list[bytes], group: np.ndarray, reach: int = LENGTH - ANCHOR):
+        n, words = len(strings), -(-reach // 8)
         self.group, self.size = group, np.fromiter(map(len, strings), np.int64, n)
         self.bytes = np.frombuffer(b"".join(s.ljust(words * 8, b"\0") for s in strings), np.uint8).reshape(n, words * 8)
         self.words = self.bytes.view("<u8")
@@ -249,15 +266,17 @@ class Suffixes:
         return order
 
 
-def repeats(left: list[bytes], right: list[bytes], group: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows and how far before and after their anchor a repeat of ``LENGTH`` bytes reaches.
+def repeats(
+    left: list[bytes], right: list[bytes], group: np.ndarray, wanted: np.ndarray, reach: int = LENGTH - ANCHOR
+) -> tuple[np.ndarray, ...]:
+    """Rows and how far before and after their anchor a repeat reaches ``reach`` bytes beyond it, both sides together.
 
     ``left`` holds the bytes before each anchor, ``right`` those after it.
     Works up the intervals of the suffix array: at common length ``r`` rows
     form runs; in each run that grew, the neighbour by sorted prefixes shares
     the most bytes to the left.
     """
-    after, before = Suffixes(right, group), Suffixes([s[::-1] for s in left], group)
+    after, before = Suffixes(right, group, reach), Suffixes([s[::-1] for s in left], group, reach)
     array, rank = after.order(), np.empty(len(group), np.int64)
     rank[before.order()] = np.arange(len(group))
     shared = np.full(len(group), -1)
@@ -274,7 +293,7 @@ def repeats(left: list[bytes], right: list[bytes], group: np.ndarray, wanted: np
         near = of[1:] == of[:-1]
         a, b = members[1:][near], members[:-1][near]
         both = before.common(a, b)
-        enough = both + r >= REACH
+        enough = both + r >= reach
         a, b, both = a[enough], b[enough], both[enough]
         # verification: the hashes said so, the bytes have to
         sure = _equal(before.bytes, a, b, both) & _equal(after.bytes, a, b, np.full(len(a), r))
@@ -291,64 +310,73 @@ def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) ->
     return ((data[a] == data[b]) | (np.arange(data.shape[1]) >= size[:, None])).all(1)
 
 
-def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sort(span: Run):
     """Ranges of repeats in groups of equal anchors; the rows of a group too large to be sorted pass through."""
-    for table, hot in pk.grouped(batches, "hash", SORT_ROWS):
-        if hot:
-            last = pa.array(np.full(len(table), _HOT, np.int32))
-            yield from table.append_column("last", last).select(_SORTED.names).combine_chunks().to_batches()
-            continue
-        hashes, check = table["hash"].to_numpy(), table["check"].to_numpy()
-        _, group = np.unique(np.stack([hashes, check], 1), axis=0, return_inverse=True)
-        rows, low, high = repeats(table["left"].to_pylist(), table["right"].to_pylist(), group.ravel(),
-                                  table["wanted"].to_numpy(zero_copy_only=False))
-        place = table["place"].to_numpy().astype(np.int64)[rows]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(table["pack"].to_numpy()[rows]), pa.array((place - low).astype(np.int32)),
-            pa.array((place + ANCHOR + high).astype(np.int32)),
-            *[pa.nulls(len(rows), f.type) for f in list(_SORTED)[3:]]], schema=_SORTED)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, hot in pk.grouped(batches, "hash", SORT_ROWS):
+            if hot:
+                last = pa.array(np.full(len(table), _HOT, np.int32))
+                yield from table.append_column("last", last).select(_SORTED.names).combine_chunks().to_batches()
+                continue
+            hashes, check = table["hash"].to_numpy(), table["check"].to_numpy()
+            _, group = np.unique(np.stack([hashes, check], 1), axis=0, return_inverse=True)
+            rows, low, high = repeats(table["left"].to_pylist(), table["right"].to_pylist(), group.ravel(),
+                                      table["wanted"].to_numpy(zero_copy_only=False), span.reach)
+            place = table["place"].to_numpy().astype(np.int64)[rows]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(table["pack"].to_numpy()[rows]), pa.array((place - low).astype(np.int32)),
+                pa.array((place + span.anchor + high).astype(np.int32)),
+                *[pa.nulls(len(rows), f.type) for f in list(_SORTED)[3:]]], schema=_SORTED)
+
+    return releasing(run)
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _windows(reach: int):
     """Every window over an anchor, keyed by 128 bits of a hash of its bytes."""
     import xxhash
 
     digest = xxhash.xxh3_128_digest
-    for whole in batches:
-        for start in range(0, len(whole), 500):
-            batch, keys, row, offset = whole.slice(start, 500), [], [], []
-            columns = [batch[n].to_pylist() for n in ("hash", "check", "left", "right")]
-            for i, (a, b, left, right) in enumerate(zip(*columns, strict=True)):
-                anchor = np.array([a, b]).tobytes()
-                for o in range(max(0, REACH - len(right)), min(REACH, len(left)) + 1):
-                    keys.append(digest(anchor + bytes([o]) + left[len(left) - o:] + right[:REACH - o]))
-                    row.append(i)
-                    offset.append(o)
-            at = np.array(row, np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.binary()), pa.array(batch["pack"].to_numpy()[at]), pa.array(batch["place"].to_numpy()[at]),
-                pa.array(np.array(offset, np.int32)), pa.array(batch["wanted"].to_numpy(zero_copy_only=False)[at].astype(bool)),
-            ], schema=_WINDOWS)
-
 
-def repeated_bytes(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, len(whole), 500):
+                batch, keys, row, offset = whole.slice(start, 500), [], [], []
+                columns = [batch[n].to_pylist() for n in ("hash", "check", "left", "right")]
+                for i, (a, b, left, right) in enumerate(zip(*columns, strict=True)):
+                    anchor = np.array([a, b]).tobytes()
+                    for o in range(max(0, reach - len(right)), min(reach, len(left)) + 1):
+                        keys.append(digest(anchor + o.to_bytes(4, "little") + left[len(left) - o:] + right[:reach - o]))
+                        row.append(i)
+                        offset.append(o)
+                at = np.array(row, np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys, pa.binary()), pa.array(batch["pack"].to_numpy()[at]), pa.array(batch["place"].to_numpy()[at]),
+                    pa.array(np.array(offset, np.int32)), pa.array(batch["wanted"].to_numpy(zero_copy_only=False)[at].astype(bool)),
+                ], schema=_WINDOWS)
+
+    return releasing(run)
+
+
+def repeated_bytes(docs: DataFrame, text: str = "text", span: Run = Run()) -> tuple[DataFrame, DataFrame]:
     """Pack table of ``docs`` and notes on which of its bytes are in repeats."""
     packs = pk.packed(docs, text)
-    found = pk.mapped(packs, _find(text), _spark(_FOUND))
+    found = pk.mapped(packs, _find(text, span), _spark(_FOUND))
     by_anchor = found.repartition("hash").sortWithinPartitions("hash", "around")
-    notes = pk.staged(by_anchor.mapInArrow(_settle, _spark(_NOTES)), "settled")
-    sent = pk.joined(packs, notes.filter(f"last <> {_DONE}"), _send(text), _spark(_SENT))
-    ranges = pk.staged(sent.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sort, _spark(_SORTED)), "ranges")
-    windows = ranges.filter(f"last = {_HOT}").mapInArrow(_windows, _spark(_WINDOWS))
+    notes = pk.staged(by_anchor.mapInArrow(releasing(_settle), _spark(_NOTES)), "settled")
+    sent = pk.joined(packs, notes.filter(f"last <> {_DONE}"), _send(text, span), _spark(_SENT))
+    ranges = pk.staged(
+        sent.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sort(span), _spark(_SORTED)), "ranges")
+    windows = ranges.filter(f"last = {_HOT}").mapInArrow(_windows(span.reach), _spark(_WINDOWS))
     again = windows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    hot = pk.spans(windows.filter("wanted").join(again, "key"), LENGTH)
+    hot = pk.spans(windows.filter("wanted").join(again, "key"), span.length)
     known = notes.filter(f"last <> {_SORT}").withColumn("last", F.lit(_DONE))
     return packs, known.unionByName(ranges.filter(f"last <> {_HOT}").select("pack", "place", "last")).unionByName(hot)
 
 
-def _masks(table: pa.Table, notes: pa.Array, text: str) -> Iterator[tuple[bytes, np.ndarray]]:
+def _masks(table: pa.Table, notes: pa.Array, text: str, span: Run) -> Iterator[tuple[bytes, np.ndarray]]:
     """Bytes of every row of a pack and which of them to remove."""
-    texts = _Bytes(table, text)
+    texts = _Bytes(table, text, span)
     begin, end = texts.ends()
     start = notes.field("place").to_numpy(zero_copy_only=False).astype(np.int64)
     stop = notes.field("last").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -359,7 +387,7 @@ def _masks(table: pa.Table, notes: pa.Array, text: str) -> Iterator[tuple[bytes,
     mask = pk.merged(start, stop, len(texts.raw))
     for i, first in enumerate(texts.first):
         a, b = texts.places[first], texts.places[first + 1]
-        gone = mask[a:b] if texts.copies[first] == 1 else np.full(b - a, b - a >= LENGTH)
+        gone = mask[a:b] if texts.copies[first] == 1 else np.full(b - a, b - a >= span.length)
         yield texts.whole[a:b], gone
 
 
@@ -367,21 +395,23 @@ def _kept(content: bytes, gone: np.ndarray) -> bytes:
     return np.frombuffer(content, np.uint8)[~gone].tobytes() if gone.any() else content
 
 
-def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """``docs`` without the bytes of repeats, same columns.
 
-    A byte goes if a run of ``LENGTH`` bytes over it starts anywhere else too,
-    in another document or the same one; all occurrences go.  Matches never
+    A byte goes if a run of ``length`` bytes over it starts anywhere else too,
+    in another document or the same one; all occurrences go.  ``anchor`` bytes
+    of a run, fewer than ``length``, are what equal runs meet by.  Matches never
     cross documents.  A repeat may begin or end inside a character: what is
     left of one becomes U+FFFD.  Null stays null, texts below the threshold
     stay as they are, rows that repeat a text lose it whole if it is long
     enough.  An empty table gives no rows.
     """
-    packs, notes = repeated_bytes(docs, text)
+    span = Run(length, anchor)
+    packs, notes = repeated_bytes(docs, text, span)
 
     def run(_: int, table: pa.Table, found: pa.Array) -> Iterator[pa.RecordBatch]:
         new = [old if not gone.any() else _kept(content, gone).decode("utf-8", "replace")
-               for old, (content, gone) in zip(table[text].to_pylist(), _masks(table, found, text), strict=True)]
+               for old, (content, gone) in zip(table[text].to_pylist(), _masks(table, found, text, span), strict=True)]
         place = table.schema.get_field_index(text)
         yield from table.set_column(place, table.schema.field(place), pa.array(new, table.schema.field(place).type)).to_batches()
 
@@ -393,11 +423,12 @@ _DIGEST = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spa
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Bytes, removed bytes and runs, and a checksum of the rest of every row; see :func:`deduplicated`."""
-    packs, notes = repeated_bytes(docs.select(F.col(key).cast("long").alias(key), text), text)
+    span = Run()
+    packs, notes = repeated_bytes(docs.select(F.col(key).cast("long").alias(key), text), text, span)
 
     def run(_: int, table: pa.Table, found: pa.Array) -> Iterator[pa.RecordBatch]:
         rows = []
-        for content, gone in _masks(table, found, text):
+        for content, gone in _masks(table, found, text, span):
             runs = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
             rows.append((len(content), int(gone.sum()), runs, hashlib.sha256(_kept(content, gone)).hexdigest()))
         yield pa.RecordBatch.from_arrays(

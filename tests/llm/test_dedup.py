@@ -71,6 +71,31 @@ def test_close_pairs_in_dense_cells():
         assert len(links[0]) <= len(values)
 
 
+def test_keys_grow_with_the_corpus(spark, monkeypatch):
+    """Links are the same for every number of bands; the pairs of random fingerprints stay few as rows double."""
+    assert [simhash.key_bands(n, 4) for n in (1, 10**5, 10**7, 5 * 10**10)] == [5, 5, 6, 7]
+    pairs = [n * n / 2 ** (64 * (b - 4) / b) for n in (10**6, 10**8, 10**10) for b in [simhash.key_bands(n, 4)]]
+    assert pairs[1] / pairs[0] < 1000 and pairs[2] / pairs[1] < 1000  # 10,000 with keys of one length
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 63, 300, np.uint64)
+    for _ in range(2):  # chains of flipped bits, 1 to 5 of them
+        flips = [np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, False).astype(np.uint64)) for k in rng.integers(1, 6, 300)]
+        values = np.concatenate([values, values[:300] ^ np.array(flips, np.uint64)])
+    values = np.unique(values)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    label = np.arange(len(values))
+    while True:
+        low = np.where(near, label[None, :], len(values)).min(1)
+        if (low == label).all():
+            break
+        label = low
+    expected = {int(v): int(np.sort(values[label == label[i]].view(np.int64))[0]) for i, v in enumerate(values.view(np.int64))}
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    for bands in (5, 6, 8):
+        monkeypatch.setattr(simhash, "key_bands", lambda n, bits, bands=bands: bands)
+        assert {r["fp"]: r["root"] for r in simhash.fingerprint_groups(df).collect()} == expected
+
+
 def brute_words(rows):
     order, first = [], {}
     for key, text, *_ in rows:
@@ -102,15 +127,15 @@ def test_repeated_words(docs, empty):
     assert substring.deduplicated(empty).count() == 0
 
 
-def brute_bytes(rows):
+def brute_bytes(rows, length=400):
     raws = [(r[1] or "").encode() for r in rows]
-    seen = Counter(raw[i:i + 400] for raw in raws for i in range(len(raw) - 399))
+    seen = Counter(raw[i:i + length] for raw in raws for i in range(len(raw) - length + 1))
     out = []
     for raw in raws:
         gone = np.zeros(len(raw), bool)
-        for i in range(len(raw) - 399):
-            if seen[raw[i:i + 400]] > 1:
-                gone[i:i + 400] = True
+        for i in range(len(raw) - length + 1):
+            if seen[raw[i:i + length]] > 1:
+                gone[i:i + length] = True
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
         out.append((len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
@@ -129,10 +154,20 @@ def test_repeated_bytes(docs, empty):
     assert suffix.deduplicated(empty).count() == 0
 
 
+def test_repeats_of_other_lengths(docs):
+    rows = make_rows()
+    for length, anchor in ((200, 112), (30, 5)):
+        found = brute_bytes(rows, length)
+        kept = suffix.deduplicated(docs, length=length, anchor=anchor).collect()
+        sizes = Counter((r["doc_id"], len((r["text"] or "").encode("utf-8", "replace"))) for r in kept if (r["text"] or "").isascii())
+        expected = Counter((r[0], n - gone) for r, (n, gone, _, _) in zip(rows, found, strict=True) if (r[1] or "").isascii())
+        assert not expected - sizes and sum(expected.values()) > 5
+
+
 def test_suffix_sort_is_lexicographic():
     rng = np.random.default_rng(2)
-    strings = [bytes(rng.integers(97, 99, rng.integers(0, suffix.REACH + 1)).astype(np.uint8)) for _ in range(300)]
-    strings += strings[:40] + [b"", b"\0", b"\0\0", b"a" * suffix.REACH]
+    strings = [bytes(rng.integers(97, 99, rng.integers(0, suffix.Run().reach + 1)).astype(np.uint8)) for _ in range(300)]
+    strings += strings[:40] + [b"", b"\0", b"\0\0", b"a" * suffix.Run().reach]
     group = rng.integers(0, 5, len(strings))
     tree = suffix.Suffixes(strings, group)
     assert [(group[i], strings[i]) for i in tree.order()] == sorted(zip(group, strings, strict=True))
