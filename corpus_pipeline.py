@@ -10,6 +10,8 @@ from postsieve.llm.base import staged, table
 from postsieve.llm.queries import tokenizer_path
 from postsieve.llm.simhash import MAX_BITS, SHINGLE, one_per_group
 
+#: bytes of a repeated passage, and of the part by which equal ones meet
+REPEAT, REPEAT_ANCHOR = 200, 112
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -29,8 +31,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without long byte strings that occur anywhere else."""
-    return _counted(suffix.deduplicated(docs))
+    """Texts without byte strings of some forty words that occur anywhere else."""
+    return _counted(suffix.deduplicated(docs, length=REPEAT, anchor=REPEAT_ANCHOR))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
