@@ -9,6 +9,7 @@ holds is bounded, and what leaves it is one short list per query and stripe.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,13 @@ def _packed(number: int, ids: np.ndarray, labels: np.ndarray, chunks: np.ndarray
     return [number, vectors.shape[1], len(ids), *whole, kind, vectors.astype(kind).tobytes()]
 
 
+def pack_of(number: int, ids: np.ndarray, vectors: np.ndarray) -> Pack:
+    """A chunk of these rows."""
+    zeros = np.zeros(len(ids), np.int64)
+    row = _packed(number, ids, zeros, zeros + number, np.arange(len(ids)), vectors)
+    return Pack(SimpleNamespace(**dict(zip(_NAMES, row, strict=True))))
+
+
 class Pack:
     """The rows of one chunk or block."""
 
@@ -176,9 +184,8 @@ class Best:
         self.k, self.floor = k, np.full(lists, LEAST)
         self.rows = tuple(np.zeros(0, np.int64) for _ in range(5))  # list, score, id, chunk, place
 
-    def offer(self, first: int, score: np.ndarray, fits: np.ndarray, pack: Pack, step: int = 1) -> None:
-        """Scores of one list per row, from list ``first`` on in steps of ``step``, where they fit."""
-        lists = first + step * np.arange(len(score))
+    def offer(self, lists: np.ndarray, score: np.ndarray, fits: np.ndarray, pack: Pack, start: int = 0) -> None:
+        """Scores of one list per row, for the pack's rows from ``start`` on, where they fit."""
         fits = fits & (score >= self.floor[lists][:, None])
         if not fits.any():
             return
@@ -186,7 +193,7 @@ class Best:
             kept = np.where(fits, score, LEAST)
             fits &= score >= np.partition(kept, score.shape[1] - self.k, axis=1)[:, [score.shape[1] - self.k]]
         i, j = np.nonzero(fits)
-        new = (lists[i], score[i, j], pack.ids[j], np.full(len(j), pack.number), j)
+        new = (lists[i], score[i, j], pack.ids[start + j], np.full(len(j), pack.number), start + j)
         which, points, ids, chunk, place = (
             np.concatenate([a, b]) for a, b in zip(self.rows, new, strict=True))
         order = np.lexsort((place, chunk, ids, ~points, which))

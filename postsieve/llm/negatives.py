@@ -72,7 +72,7 @@ class _Positives:
             own = np.flatnonzero(block.chunks[part] == pack.number)
             fits[own, block.places[part][own]] = False
             if fits.any():
-                self.best.offer(at, packed_scores(block.vectors[part], pack.vectors), fits, pack)
+                self.best.offer(at + np.arange(len(fits)), packed_scores(block.vectors[part], pack.vectors), fits, pack)
 
     def finish(self) -> pd.DataFrame:
         which, score, ids, chunk, place = self.best.rows
@@ -102,9 +102,9 @@ class _Negatives:
             other = block.labels[part, None] != pack.labels[None, :]
             score = packed_scores(block.vectors[part], pack.vectors)
             for slot in range(slots):
-                lists = slice(at * slots + slot, min(at + SCORE_ROWS, block.rows) * slots, slots)
+                lists = (at + np.arange(len(score))) * slots + slot
                 fits = other & (score >= self.least[lists, None]) & (score <= self.most[lists, None])
-                self.best.offer(at * slots + slot, score, fits, pack, step=slots)
+                self.best.offer(lists, score, fits, pack)
 
     def finish(self) -> pd.DataFrame:
         which, score, ids, chunk, place = self.best.rows

@@ -3,27 +3,23 @@
 Vectors are packed, in the order of their ids, into chunks of consecutive
 blocks.  A block keeps the largest and smallest value of each component, so
 ``sum(max(q * largest, q * smallest))`` bounds every score in it.  For each
-query and chunk the blocks are scored in the order of their bounds, through
-the block's own matrix, until the bound falls below the query's k-th score.
+query the blocks of a chunk are scored in the order of their bounds, through
+the block's own matrix, until the bound falls below the query's k-th score.  A
+task takes many chunks one after another, so the k-th score of the earlier ones
+prunes the later ones, whole where no block's bound reaches it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postsieve.llm.base import staged
-
-#: rows of a block, and rows of a chunk: the unit that tasks exchange
-BLOCK_ROWS, CHUNK_ROWS = 256, 4096
-#: stands for a null id inside a task; sorts last
-NO_ID = np.iinfo(np.int64).max
+from postsieve.llm.grid import Best, Pack, blocks_of, chunks_of, known_ids, meet
 
-_CHUNK = "chunk long, dim int, rows int, ids binary, kind string, vectors binary"
+#: rows of a block
+BLOCK_ROWS = 256
 
 
 def quantized(vector: Column, scale: int) -> Column:
@@ -35,41 +31,6 @@ def quantized(vector: Column, scale: int) -> Column:
     return F.when(usable, F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale)))))
 
 
-def _pack(number: int, ids: np.ndarray, rows: np.ndarray) -> dict:
-    kind = next(k for k in ("int8", "int16", "int32", "int64")
-                if not rows.size or (np.iinfo(k).min <= rows.min() and rows.max() <= np.iinfo(k).max))
-    return {"chunk": number, "dim": rows.shape[1], "rows": len(ids), "ids": ids.tobytes(),
-            "kind": kind, "vectors": rows.astype(kind).tobytes()}
-
-
-def _unpack(rows: int, dim: int, ids: bytes, kind: str, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(vectors, kind).reshape(rows, dim).astype(np.int64)
-
-
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyspark import TaskContext
-
-    number = TaskContext.get().partitionId() << 32
-    held: dict[int, list] = {}
-
-    def flush(dim: int) -> pd.DataFrame:
-        nonlocal number
-        part = held.pop(dim)
-        ids = np.array([NO_ID if i is None else i for i, _ in part], np.int64)
-        rows = np.array([v for _, v in part], np.int64).reshape(len(part), dim)
-        number += 1
-        return pd.DataFrame([_pack(number, ids, rows)])
-
-    for batch in batches:
-        for i, v in zip(batch["id"].astype(object), batch["vector"], strict=True):
-            part = held.setdefault(len(v), [])
-            part.append((None if pd.isna(i) else int(i), v))
-            if len(part) == CHUNK_ROWS:
-                yield flush(len(v))
-    for dim in list(held):
-        yield flush(dim)
-
-
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer products; saturated where they leave the range of a long."""
     most = max(1, a.shape[1]) * float(np.abs(a.astype(float)).max(initial=0)) * float(
@@ -82,100 +43,44 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(a.astype(object) @ b.astype(object).T, limit.min, limit.max).astype(np.int64)
 
 
-class _Best:
-    """The k best (score, id, place) of each query, ties to smaller ids."""
-
-    def __init__(self, queries: int, k: int):
-        low = np.iinfo(np.int64).min
-        self.k = k
-        self.score = np.full((queries, k), low)
-        self.id = np.full((queries, k), NO_ID)
-        self.place = np.full((queries, k), -1)
-
-    def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray, places: np.ndarray) -> None:
-        score = np.concatenate([self.score[rows], score], 1)
-        ids = np.concatenate([self.id[rows], ids], 1)
-        places = np.concatenate([self.place[rows], places], 1)
-        # unused entries last, then high scores, small ids, early rows
-        order = np.lexsort((places, ids, ~score, places < 0), axis=-1)[:, : self.k]
-        for name, values in (("score", score), ("id", ids), ("place", places)):
-            getattr(self, name)[rows] = np.take_along_axis(values, order, 1)
-
-    def kth(self, rows: np.ndarray) -> np.ndarray:
-        """The score a candidate has to reach; the least long while entries are unused."""
-        return np.where(self.place[rows, -1] < 0, np.iinfo(np.int64).min, self.score[rows, -1])
-
-
-def chunk_top_k(
-    q: np.ndarray, own: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int
-) -> tuple[_Best, int]:
-    """Best rows of one chunk for each query, and how many block scorings it took.
-
-    ``own`` is the place in this chunk of the query's own row, or -1.
-    """
-    best, starts = _Best(len(q), k), np.arange(0, len(rows), BLOCK_ROWS)
-    high = np.maximum.reduceat(rows, starts).astype(float)
-    low = np.minimum.reduceat(rows, starts).astype(float)
-    up, down = np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
-    bounds = up @ high.T + down @ low.T
-    bounds += np.abs(bounds) * 1e-9 + 0.5  # above every rounding error
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    active, scored = np.arange(len(q)), 0
-    for turn in range(len(starts)):
-        block = order[active, turn]
-        open_ = bounds[active, block] >= best.kth(active)
-        active, block = active[open_], block[open_]
-        if not len(active):
-            break
-        for b in np.unique(block):
-            mine = active[block == b]
-            scored += len(mine)
-            start, stop = starts[b], min(starts[b] + BLOCK_ROWS, len(rows))
-            score = _products(q[mine], rows[start:stop])
-            places = np.broadcast_to(np.arange(start, stop), score.shape)
-            usable = places != own[mine, None]
-            hit = ((score >= best.kth(mine)[:, None]) & usable).any(1)
-            if hit.any():
-                best.add(mine[hit], score[hit], np.broadcast_to(ids[start:stop], score.shape)[hit],
-                         np.where(usable, places, -1)[hit])
-    return best, scored
-
-
-def _queries_of(divisor: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                ids, rows = _unpack(row.rows, row.dim, row.ids, row.kind, row.vectors)
-                places = np.flatnonzero((ids % divisor == 0) & (ids != NO_ID))
-                if len(places):
-                    yield pd.DataFrame([_pack(row.chunk, ids[places], rows[places])
-                                        | {"places": places.astype(np.int64).tobytes()}])
-
-    return run
-
-
-def _score(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                if r.dim != r.q_dim:
-                    continue
-                ids, rows = _unpack(r.rows, r.dim, r.ids, r.kind, r.vectors)
-                query_ids, q = _unpack(r.q_rows, r.q_dim, r.q_ids, r.q_kind, r.q_vectors)
-                places = np.frombuffer(r.q_places, np.int64)
-                own = places if r.chunk == r.q_chunk else np.full(len(places), -1)
-                best, _ = chunk_top_k(q, own, ids, rows, k)
-                used = best.place >= 0
-                row, _ = np.nonzero(used)
-                found = best.id[used]
-                yield pd.DataFrame({
-                    "q_chunk": r.q_chunk, "q_place": places[row], "query_id": query_ids[row],
-                    "vec_id": pd.array(found, "Int64").copy() if not (found == NO_ID).any()
-                    else pd.array([None if i == NO_ID else i for i in found.tolist()], "Int64"),
-                    "chunk": r.chunk, "place": best.place[used], "score": best.score[used],
-                })
-
-    return run
+class Search:
+    """The ``k`` best rows for each query of a block, over the chunks fed so far."""
+
+    def __init__(self, block: Pack, k: int):
+        self.block, self.best = block, Best(block.rows, k)
+        self.up, self.down = np.maximum(block.vectors, 0).astype(float), np.minimum(block.vectors, 0).astype(float)
+        #: block scorings done, and those without any pruning
+        self.scored = self.possible = 0
+
+    def feed(self, pack: Pack) -> None:
+        starts = np.arange(0, pack.rows, BLOCK_ROWS)
+        high = np.maximum.reduceat(pack.vectors, starts).astype(float)
+        low = np.minimum.reduceat(pack.vectors, starts).astype(float)
+        bounds = self.up @ high.T + self.down @ low.T
+        bounds += np.abs(bounds) * 1e-9 + 0.5  # above every rounding error
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        own = np.where(self.block.chunks == pack.number, self.block.places, -1)
+        active = np.arange(self.block.rows)
+        self.possible += len(active) * len(starts)
+        for turn in range(len(starts)):
+            block = order[active, turn]
+            open_ = bounds[active, block] >= self.best.floor[active]
+            active, block = active[open_], block[open_]
+            if not len(active):
+                break
+            for b in np.unique(block):
+                mine = active[block == b]
+                self.scored += len(mine)
+                start, stop = starts[b], min(starts[b] + BLOCK_ROWS, pack.rows)
+                score = _products(self.block.vectors[mine], pack.vectors[start:stop])
+                self.best.offer(mine, score, np.arange(start, stop) != own[mine, None], pack, start)
+
+    def finish(self) -> pd.DataFrame:
+        which, score, ids, chunk, place = self.best.rows
+        return pd.DataFrame({
+            "block": self.block.number, "query": which, "query_id": self.block.ids[which], "vec_id": known_ids(ids),
+            "chunk": chunk, "place": place, "score": score,
+        })
 
 
 def top_k(
@@ -193,17 +98,15 @@ def top_k(
     long.  Other columns are not read.
     """
     ints = vectors.select(
-        F.col(key).cast("long").alias("id"), quantized(F.col(vector), scale).alias("vector")
+        F.col(key).cast("long").alias("id"), F.lit(None).cast("long").alias("label"),
+        quantized(F.col(vector), scale).alias("vector"),
     ).filter("vector is not null")
-    ordered = ints.repartitionByRange("id").sortWithinPartitions("id")
-    chunks = staged(ordered.mapInPandas(_chunks, _CHUNK), "vector-chunks")
-    queries = staged(chunks.mapInPandas(_queries_of(divisor), _CHUNK + ", places binary"), "query-chunks")
+    chunks = chunks_of(ints.repartitionByRange("id").sortWithinPartitions("id"))
     # the stated queries, in packed blocks, against all packed blocks
-    pairs = chunks.crossJoin(queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns]))
-    found = pairs.mapInPandas(
-        _score(k), "q_chunk long, q_place long, query_id long, vec_id long, chunk long, place long, score long"
-    )
-    best = Window.partitionBy("q_chunk", "q_place").orderBy(
+    found = meet(
+        blocks_of(chunks, divisor), chunks, lambda block, _: Search(block, k),
+        "block long, query long, query_id long, vec_id long, chunk long, place long, score long")
+    best = Window.partitionBy("block", "query").orderBy(
         F.desc("score"), F.asc_nulls_last("vec_id"), "chunk", "place"
     )
     return (

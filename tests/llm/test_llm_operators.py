@@ -232,6 +232,32 @@ def test_sketches_merge_and_estimate():
     assert (half == a).all()
 
 
+def test_likeness_against_all_shingles(spark):
+    """With every hash kept: the containment of word tuples, the pair of last and first document included."""
+    def tuples(text):
+        words = text.encode("utf-8", "surrogatepass").split()
+        width = min(5, len(words))
+        return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} if words else set()
+
+    def likeness(a, b):
+        return float(len(a) == len(b)) if not a or not b else len(a & b) / min(len(a), len(b))
+
+    rows = {r[0]: r[1] or "" for r in make_rows() if r[0] is not None}
+    keys = sorted(rows)
+    expected = {}
+    for i, key in enumerate(keys):
+        own, following = rows[key], rows[keys[(i + 1) % len(keys)]]
+        tail = len(own) // 4
+        edited = own[:len(own) - tail] + following[:tail]
+        expected[key] = (likeness(tuples(own), tuples(edited)), likeness(tuples(own), tuples(following)))
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["near_edited"], r["near_next"]) for r in sketch.edited_by_neighbour(df, scale=1).collect()}
+    assert got == expected and 0 < got[keys[-1]][0] <= 1
+    # the kept half of the hashes comes close to that
+    half = {r["doc_id"]: r["near_edited"] for r in sketch.edited_by_neighbour(df).collect()}
+    assert np.mean([abs(half[k] - expected[k][0]) for k in keys]) < 0.15
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     rows = [(int(i), [float(x) for x in rng.normal(size=6)]) for i in range(900)]
@@ -253,15 +279,24 @@ def test_top_k(spark):
     assert top_k.top_k(df.limit(0), k=20, divisor=20).count() == 0
 
 
-def test_top_k_prunes_blocks():
+def test_top_k_prunes_blocks_and_chunks():
+    """Coherent blocks in three chunks: later chunks are pruned by the scores of earlier ones."""
+    from postsieve.llm.grid import pack_of
+
     rng = np.random.default_rng(4)
-    centre = np.repeat(rng.integers(-60, 60, (16, 8)), 256, 0)
+    centre = np.repeat(rng.integers(-60, 60, (48, 8)), 256, 0)
     rows = centre + rng.integers(-3, 4, centre.shape)
     q = rows[::200]
-    best, scored = top_k.chunk_top_k(q, np.full(len(q), -1), np.arange(len(rows)), rows, 5)
-    assert scored < 0.6 * len(q) * 16
+    search, shares = top_k.Search(pack_of(99, np.arange(len(q)), q), 5), []
+    for chunk in range(3):
+        before = search.scored, search.possible
+        part = rows[chunk * 4096:(chunk + 1) * 4096]
+        search.feed(pack_of(chunk, np.arange(len(part)) + chunk * 4096, part))
+        shares.append((search.scored - before[0]) / (search.possible - before[1]))
+    print("share of blocks scored by chunk", shares)
+    assert shares[0] < 0.6 and shares[2] < 0.5 * shares[0]
     exact = np.sort(q @ rows.T, 1)[:, ::-1][:, :5]
-    assert (best.score == exact).all()
+    assert (search.best.rows[1].reshape(len(q), 5) == exact).all()
 
 
 def test_products_beyond_doubles():
