@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from postsieve.llm.base import as_bytes
 
 #: words of a shingle; one hash in ``SCALE`` stays; bits of a kept hash
-SHINGLE, SCALE, BITS = 5, 8, 48
+SHINGLE, SCALE, BITS = 5, 2, 48
 #: rows that share a sorted range, and the most ranges
 RANGE_ROWS, MAX_RANGES = 256, 1024
 
@@ -139,13 +139,17 @@ def with_neighbour(
     return ordered.mapInPandas(run, schema)
 
 
-def edited_by_neighbour(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def edited_by_neighbour(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", scale: int = SCALE
+) -> DataFrame:
     """Each document's sketch beside that of an edited copy and of the next document.
 
     The edit replaces the last quarter of the code points by as many from the
     start of the next document (all of it, if shorter).  A null text counts as
     empty; an empty text has an empty sketch, which is like another empty one
     only; repeated rows are rows of their own.  An empty table gives no rows.
+    One hash in ``scale`` stays: the fewer shingles a text has, the further its
+    likeness may be from that of all its hashes (see README for figures).
     """
 
     def start():
@@ -155,14 +159,14 @@ def edited_by_neighbour(docs: DataFrame, key: str = "doc_id", text: str = "text"
             if content not in kept:
                 if len(kept) > 2:
                     kept.clear()
-                kept[content] = sketch(content.encode("utf-8", "surrogatepass"))
+                kept[content] = sketch(content.encode("utf-8", "surrogatepass"), scale=scale)
             return kept[content]
 
         def one(k, content, following):
             tail = len(content) // 4
             edited = content[:len(content) - tail] + following[:tail]
             raw = edited.encode("utf-8", "surrogatepass")
-            own, other, after = of(content), sketch(raw), of(following)
+            own, other, after = of(content), sketch(raw, scale=scale), of(following)
             return {key: k, "n_chars": len(content), "edited_sha256": hashlib.sha256(raw).hexdigest(),
                     "fingerprint": written(own), "edited_fingerprint": written(other),
                     "near_edited": containment(own, other), "near_next": containment(own, after)}
