@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,18 +25,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.llm.base import as_bytes
+from postsieve.llm.base import as_bytes, release_memory
 
 #: bounds of the labelled sample: documents of each label, bytes of one of them
 MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 1200, 2400, 32_768
 #: bytes of the dictionaries, compression level, bytes for a byte, bytes of a window
 ORDINARY_BYTES, TOXIC_BYTES, LEVEL, WIDTH, WINDOW = 112_640, 16_384, 17, 3, 64
+#: windows of the ordinary sample that its dictionary is trained on, evenly spread
+TRAIN_WINDOWS = 250_000
 #: byte run by which toxic windows are told apart; documents it is found in; log odds it needs
 RUN, MIN_DOCS, MIN_ODDS = 5, 3, 3.0
 #: a document is toxic from this score on
 CUT = 0.7
-#: windows a worker keeps before it starts over
-MAX_KEPT = 400_000
+#: bytes of memory for the windows a task keeps before it starts over (with what an entry of
+#: a dictionary takes), and bytes of text it scores at once
+KEPT_BYTES, SLICE_BYTES = 64 << 20, 2 << 20
+ENTRY_BYTES = 150
+#: bytes by which the pieces of a very long word overlap
+OVERLAP = 8
 
 
 def windows(content: bytes) -> list[bytes]:
@@ -45,7 +52,7 @@ def windows(content: bytes) -> list[bytes]:
         if len(word) <= WINDOW:
             out.append(b" " + word + b" ")
         else:
-            out += [b" " + word[i:i + WINDOW] + b" " for i in range(0, len(word), WINDOW)]
+            out += [b" " + word[i:i + WINDOW] + b" " for i in range(0, max(1, len(word) - OVERLAP), WINDOW - OVERLAP)]
     return out
 
 
@@ -63,28 +70,40 @@ class Scorer:
     weights: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     base: float = 0.0
     kept: dict[bytes, float] = field(default_factory=dict)
+    kept_bytes: int = 0
     tools: tuple = ()
 
     def __getstate__(self):
-        return {**self.__dict__, "kept": {}, "tools": ()}
-
-    def saved(self, window: bytes) -> float:
-        """Share of the window's length that the toxic dictionary saves."""
-        known = self.kept.get(window)
-        if known is None:
-            if not self.tools:
-                code = np.random.default_rng(7).integers(0, 256, (256, WIDTH), np.uint8)
-                self.tools = (code, _compressor(self.ordinary), _compressor(self.toxic))
-            if len(self.kept) >= MAX_KEPT:
-                self.kept.clear()
-            code, plain, toxic = self.tools
-            wide = code[np.frombuffer(window, np.uint8)].tobytes()
-            length = len(plain.compress(wide))
-            known = self.kept[window] = (length - len(toxic.compress(wide))) / length
-        return known
-
-    def shares(self, content: bytes) -> np.ndarray:
-        return np.fromiter(map(self.saved, windows(content)), float)
+        return {**self.__dict__, "kept": {}, "kept_bytes": 0, "tools": ()}
+
+    def saved(self, distinct: list[bytes]) -> np.ndarray:
+        """Share of each window's length that the toxic dictionary saves; each new one is compressed once."""
+        if not self.tools:
+            code = np.random.default_rng(7).integers(0, 256, (256, WIDTH), np.uint8)
+            self.tools = (code, _compressor(self.ordinary), _compressor(self.toxic))
+        code, plain, toxic = self.tools
+        out = np.empty(len(distinct))
+        for i, window in enumerate(distinct):
+            known = self.kept.get(window)
+            if known is None:
+                wide = code[np.frombuffer(window, np.uint8)].tobytes()
+                length = len(plain.compress(wide))
+                known = self.kept[window] = (length - len(toxic.compress(wide))) / length
+                self.kept_bytes += len(window) + ENTRY_BYTES
+            out[i] = known
+        if self.kept_bytes > KEPT_BYTES:
+            self.kept, self.kept_bytes = {}, 0
+        return out
+
+    def shares(self, contents: list[bytes]) -> list[np.ndarray]:
+        """The shares of every window of each text; equal windows are looked up once."""
+        each = [windows(content) for content in contents]
+        every = [window for found in each for window in found]
+        if not every:
+            return [np.zeros(0) for _ in each]
+        codes, distinct = pd.factorize(np.array(every, object))
+        values = self.saved(list(distinct))[codes]
+        return np.split(values, np.cumsum([len(found) for found in each])[:-1])
 
     @staticmethod
     def features(shares: np.ndarray, threshold: float) -> tuple[float, ...]:
@@ -95,12 +114,16 @@ class Scorer:
         most = np.maximum(np.sort(shares)[-3:], 0.0)
         return float(most[-1]), float(most.sum() / 3), math.log1p(over), math.sqrt(over / len(shares))
 
-    def score(self, content: bytes) -> float:
+    def scores(self, contents: list[bytes]) -> list[float]:
+        """The score of each text, 0 to 1."""
         if not self.toxic:
-            return self.base
-        found = self.features(self.shares(content), self.threshold)
-        return 1 / (1 + math.exp(-max(-500, min(500, self.base + sum(
-            w * f for w, f in zip(self.weights, found, strict=True))))))
+            return [self.base] * len(contents)
+        out = []
+        for shares in self.shares(contents):
+            found = self.features(shares, self.threshold)
+            out.append(1 / (1 + math.exp(-max(-500, min(500, self.base + sum(
+                w * f for w, f in zip(self.weights, found, strict=True)))))))
+        return out
 
 
 def _parameters(size: int):
@@ -173,9 +196,9 @@ def fit(rows: list[tuple[bytes, int]]) -> Scorer:
     plain = [w for t in ordinary for w in windows(t)]
     if not telling or not plain or not any(x for _, x in rest) or all(x for _, x in rest):
         return Scorer(b"", b"", base=share)
-    scorer = Scorer(_dictionary(plain[:: max(1, len(plain) // 250_000)], ORDINARY_BYTES),
+    scorer = Scorer(_dictionary(plain[:: max(1, len(plain) // TRAIN_WINDOWS)], ORDINARY_BYTES),
                     _dictionary(telling, TOXIC_BYTES))
-    shares, labels = [scorer.shares(t) for t, _ in rest], np.array([x for _, x in rest], float)
+    shares, labels = scorer.shares([t for t, _ in rest]), np.array([x for _, x in rest], float)
     best = None
     for threshold in np.arange(0.15, 0.45, 0.01):
         x = np.array([Scorer.features(s, threshold) for s in shares])
@@ -198,7 +221,7 @@ def labelled_sample(
 
     Bounded by ``MAX_TOXIC`` and ``MAX_ORDINARY`` documents of at most
     ``MAX_BYTES`` bytes.  A document with several labels is toxic if one says
-    so; null labels and null texts do not count.
+    so; of rows that repeat a key one counts; null labels and null texts do not.
     """
     usable = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
     said = usable.groupBy(F.col(key).alias("k")).agg(F.max(label).cast("int").alias("x"))
@@ -209,15 +232,11 @@ def labelled_sample(
     # two labels' bounds: a few thousand keys
     texts = docs.filter(F.octet_length(text) <= MAX_BYTES).select(F.col(key).alias("k"), F.col(text).alias("t")).join(
         F.broadcast(chosen), "k")
-    found = texts.select(F.xxhash64("k", "t").alias("m"), "k", "t", "x").collect()
+    # one text for each of those keys, however often it repeats
+    found = texts.groupBy("k", "x").agg(F.min(F.struct(F.xxhash64("k", "t").alias("m"), "t")).alias("s")).select(
+        "k", "x", "s.m", "s.t").collect()
     found.sort(key=lambda r: (r["m"], r["k"]))
-    most = {1: MAX_TOXIC, 0: MAX_ORDINARY}
-    out = []
-    for row in found:  # repeated keys may bring more rows than keys
-        if most.get(row["x"], 0) > 0:
-            most[row["x"]] -= 1
-            out.append((as_bytes(row["t"]), row["x"]))
-    return out
+    return [(as_bytes(row["t"]), row["x"]) for row in found]
 
 
 def scores(docs: DataFrame, scorer: Scorer, text: str = "text") -> Column:
@@ -225,9 +244,21 @@ def scores(docs: DataFrame, scorer: Scorer, text: str = "text") -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        score = shared.value.score
-        return pd.Series([score(as_bytes(t)) for t in texts], dtype="float64")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = shared.value
+        try:
+            for texts in batches:
+                out, held, size = [], [], 0
+                for content in map(as_bytes, texts):
+                    held.append(content)
+                    size += len(content)
+                    if size >= SLICE_BYTES:
+                        out += known.scores(held)
+                        held, size = [], 0
+                yield pd.Series(out + known.scores(held), dtype="float64")
+        finally:
+            known.kept, known.kept_bytes = {}, 0
+            release_memory()
 
     return run(F.col(text))
 
