@@ -47,8 +47,11 @@ OVERLAP = 8
 
 def windows(content: bytes) -> list[bytes]:
     """Lower-cased words between spaces, long ones in pieces; all of the text."""
+    words = content.lower().split()
+    if max(map(len, words), default=0) <= WINDOW:
+        return [b" " + word + b" " for word in words]
     out = []
-    for word in content.lower().split():
+    for word in words:
         if len(word) <= WINDOW:
             out.append(b" " + word + b" ")
         else:
@@ -79,18 +82,16 @@ class Scorer:
     def saved(self, distinct: list[bytes]) -> np.ndarray:
         """Share of each window's length that the toxic dictionary saves; each new one is compressed once."""
         if not self.tools:
-            code = np.random.default_rng(7).integers(0, 256, (256, WIDTH), np.uint8)
-            self.tools = (code, _compressor(self.ordinary), _compressor(self.toxic))
+            self.tools = (_code(), _compressor(self.ordinary).compress, _compressor(self.toxic).compress)
         code, plain, toxic = self.tools
-        out = np.empty(len(distinct))
-        for i, window in enumerate(distinct):
-            known = self.kept.get(window)
-            if known is None:
-                wide = code[np.frombuffer(window, np.uint8)].tobytes()
-                length = len(plain.compress(wide))
-                known = self.kept[window] = (length - len(toxic.compress(wide))) / length
-                self.kept_bytes += len(window) + ENTRY_BYTES
-            out[i] = known
+        kept, join, wider = self.kept, b"".join, code.__getitem__
+        new = [window for window in distinct if window not in kept]
+        for window in new:
+            wide = join(map(wider, window))
+            length = len(plain(wide))
+            kept[window] = (length - len(toxic(wide))) / length
+        out = np.fromiter(map(kept.__getitem__, distinct), float, len(distinct))
+        self.kept_bytes += sum(map(len, new)) + ENTRY_BYTES * len(new)
         if self.kept_bytes > KEPT_BYTES:
             self.kept, self.kept_bytes = {}, 0
         return out
@@ -143,9 +144,14 @@ def _compressor(dictionary: bytes):
     return zstandard.ZstdCompressor(dict_data=known, compression_params=parameters)
 
 
+def _code() -> list[bytes]:
+    """The fixed bytes that stand for each byte."""
+    return [bytes(row) for row in np.random.default_rng(7).integers(0, 256, (256, WIDTH), np.uint8)]
+
+
 def _widened(samples) -> list[bytes]:
-    code = np.random.default_rng(7).integers(0, 256, (256, WIDTH), np.uint8)
-    return [code[np.frombuffer(s, np.uint8)].tobytes() for s in samples]
+    code = _code()
+    return [b"".join(map(code.__getitem__, s)) for s in samples]
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
