@@ -116,14 +116,13 @@ def grouped_rows(rnd, dim, n=400):
     return as_floats(rows + odd_rows(rnd, dim))
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_near_vectors(spark, monkeypatch, small):
+def test_near_vectors(spark, monkeypatch):
+    """With cells, splits and blocks of all kinds on a few hundred rows."""
     rnd = random.Random(6)
     rows = grouped_rows(rnd, 24)
-    if small:  # cells, splits and blocks of all kinds on a few hundred rows
-        for name, value in (("CELL_ROWS", 40), ("SPLIT_ROWS", 30), ("MOST_CELLS", 8), ("ASSIGN_ROWS", 50),
-                            ("BLOCK_BYTES", 1), ("PRODUCTS", 3000)):
-            monkeypatch.setattr(cells, name, value)
+    for name, value in (("CELL_ROWS", 40), ("SPLIT_ROWS", 30), ("MOST_CELLS", 8), ("ASSIGN_ROWS", 50),
+                        ("BLOCK_BYTES", 1), ("PRODUCTS", 3000)):
+        monkeypatch.setattr(cells, name, value)
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"cell": F.lit("x"), "kept": F.lit(1), "h": F.lit(2)})
     got = sorted(map(tuple, near_vectors(df.repartition(3), 0.9, reach=1.0).collect()), key=repr)
     expected = sorted(brute_groups(rows, 0.9), key=repr)
