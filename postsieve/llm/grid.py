@@ -181,28 +181,43 @@ class Best:
     """The ``k`` best rows of each of many lists: high scores, small ids, early rows."""
 
     def __init__(self, lists: int, k: int):
-        self.k, self.floor = k, np.full(lists, LEAST)
-        self.rows = tuple(np.zeros(0, np.int64) for _ in range(5))  # list, score, id, chunk, place
+        self.k, self.floor, self.size = k, np.full(lists, LEAST), np.zeros(lists, np.int64)
+        # score, id, chunk, place; a list has its first ``size`` entries
+        self.table = np.zeros((4, lists, k), np.int64)
+
+    @property
+    def rows(self) -> tuple[np.ndarray, ...]:
+        """List, score, id, chunk and place of every entry, list by list, best first."""
+        used = np.arange(self.k) < self.size[:, None]
+        return (np.nonzero(used)[0], *(column[used] for column in self.table))
 
     def offer(self, lists: np.ndarray, score: np.ndarray, fits: np.ndarray, pack: Pack, start: int = 0) -> None:
         """Scores of one list per row, for the pack's rows from ``start`` on, where they fit."""
         fits = fits & (score >= self.floor[lists][:, None])
-        if not fits.any():
+        some = fits.any(1)
+        if not some.any():
             return
+        lists, score, fits = lists[some], score[some], fits[some]
         if score.shape[1] > self.k:
             kept = np.where(fits, score, LEAST)
             fits &= score >= np.partition(kept, score.shape[1] - self.k, axis=1)[:, [score.shape[1] - self.k]]
         i, j = np.nonzero(fits)
-        new = (lists[i], score[i, j], pack.ids[start + j], np.full(len(j), pack.number), start + j)
-        which, points, ids, chunk, place = (
-            np.concatenate([a, b]) for a, b in zip(self.rows, new, strict=True))
+        # only the lists that get something are sorted again
+        used = np.arange(self.k) < self.size[lists][:, None]
+        held = np.nonzero(used)[0]
+        new = (score[i, j], pack.ids[start + j], np.full(len(j), pack.number), start + j)
+        which = np.concatenate([held, i])
+        points, ids, chunk, place = (
+            np.concatenate([column[lists][used], more]) for column, more in zip(self.table, new, strict=True))
         order = np.lexsort((place, chunk, ids, ~points, which))
         which = which[order]
         nth = np.arange(len(which)) - np.searchsorted(which, which)
         order, which, nth = order[nth < self.k], which[nth < self.k], nth[nth < self.k]
-        self.rows = (which, points[order], ids[order], chunk[order], place[order])
-        full = nth == self.k - 1
-        self.floor[which[full]] = self.rows[1][full]
+        for column, values in zip(self.table, (points, ids, chunk, place), strict=True):
+            column[lists[which], nth] = values[order]
+        self.size[lists] = np.bincount(which, minlength=len(lists))
+        full = lists[self.size[lists] == self.k]
+        self.floor[full] = self.table[0, full, self.k - 1]
 
 
 def known_ids(ids: np.ndarray) -> pd.Series:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from postsieve.llm.grid import Best, Pack, blocks_of, chunks_of, known_ids, meet
 
 #: rows of a block
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 
 
 def quantized(vector: Column, scale: int) -> Column:
@@ -48,14 +48,16 @@ class Search:
 
     def __init__(self, block: Pack, k: int):
         self.block, self.best = block, Best(block.rows, k)
-        self.up, self.down = np.maximum(block.vectors, 0).astype(float), np.minimum(block.vectors, 0).astype(float)
+        self.queries = block.vectors.astype(float)
+        self.up, self.down = np.maximum(self.queries, 0), np.minimum(self.queries, 0)
         #: block scorings done, and those without any pruning
         self.scored = self.possible = 0
 
     def feed(self, pack: Pack) -> None:
         starts = np.arange(0, pack.rows, BLOCK_ROWS)
-        high = np.maximum.reduceat(pack.vectors, starts).astype(float)
-        low = np.minimum.reduceat(pack.vectors, starts).astype(float)
+        rows = pack.vectors.astype(float)
+        high, low = np.maximum.reduceat(rows, starts), np.minimum.reduceat(rows, starts)
+        most = max(1, rows.shape[1]) * np.abs(self.queries).max(initial=0) * np.abs(rows).max(initial=0)
         bounds = self.up @ high.T + self.down @ low.T
         bounds += np.abs(bounds) * 1e-9 + 0.5  # above every rounding error
         order = np.argsort(-bounds, axis=1, kind="stable")
@@ -72,7 +74,10 @@ class Search:
                 mine = active[block == b]
                 self.scored += len(mine)
                 start, stop = starts[b], min(starts[b] + BLOCK_ROWS, pack.rows)
-                score = _products(self.block.vectors[mine], pack.vectors[start:stop])
+                if most < 2**53:
+                    score = (self.queries[mine] @ rows[start:stop].T).astype(np.int64)
+                else:
+                    score = _products(self.block.vectors[mine], pack.vectors[start:stop])
                 self.best.offer(mine, score, np.arange(start, stop) != own[mine, None], pack, start)
 
     def finish(self) -> pd.DataFrame:

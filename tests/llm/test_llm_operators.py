@@ -279,10 +279,12 @@ def test_top_k(spark):
     assert top_k.top_k(df.limit(0), k=20, divisor=20).count() == 0
 
 
-def test_top_k_prunes_blocks_and_chunks():
+def test_top_k_prunes_blocks_and_chunks(monkeypatch):
     """Coherent blocks in three chunks: later chunks are pruned by the scores of earlier ones."""
     from postsieve.llm.grid import pack_of
 
+    monkeypatch.setattr(top_k, "BLOCK_ROWS", 256)
+
     rng = np.random.default_rng(4)
     centre = np.repeat(rng.integers(-60, 60, (48, 8)), 256, 0)
     rows = centre + rng.integers(-3, 4, centre.shape)
