@@ -390,3 +390,28 @@ def test_entities_in_a_text(spark):
 def test_normalize_names(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int").toDF(" Stapel ID ", "Auto matisch x")
     assert normalize_names(df).columns == ["STAPEL_ID", "AUTOMATISCH_X"]
+
+
+def test_archive_fields_are_read_once(spark):
+    xml = ('<STACK StackID="S"><PROCESS ProcessID="P"><DOCUMENT DocID="a"><FIELD Name="imp_EDOC-Body" Value="x"/></DOCUMENT>'
+           '<DOCUMENT DocID="b"><FIELD Name="imp_EDOC-Body" Value="y"/></DOCUMENT>'
+           '<DOCUMENT DocID="b"><FIELD Name="imp_EDOC-isBody" Value="1"/><FIELD Name="imp_EDOC-Body" Value="z"/></DOCUMENT>'
+           '</PROCESS></STACK>')
+    df = spark.createDataFrame([("f", xml)], "file string, xml string")
+    fields = archive.explode_fields(df)
+    assert [r.body for r in archive.archive_mails(fields).collect()] == ["y"]
+    mails = archive.archive_mails(fields, all_bodies=True)
+    assert sorted(r.body for r in mails.collect()) == ["y", "z"]
+    assert mails._jdf.queryExecution().optimizedPlan().toString().count("Generate posexplode(x") == 1
+    for every, bodies in ((False, ["y"]), (True, ["y", "z"])):
+        assert [r.body for r in archive.bodies_in_row(df, all_bodies=every).collect()] == bodies
+
+
+def test_first_body_needs_no_search_of_the_ids_for_every_document(spark):
+    df = spark.createDataFrame([("f", "<A/>")], "file string, xml string")
+    assert "array_contains" not in archive.bodies_in_row(df)._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_small_lookup_of_large_estimate_is_collected(spark):
+    df = spark.range(1000).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("token")).distinct()
+    assert collect_if_small(df, max_bytes=1000).num_rows == 10
