@@ -105,3 +105,35 @@ def test_pair_and_joined_table_give_the_same(spark):
         columns = [c for c in left.columns]
         assert left.exceptAll(right.select(*columns)).count() == 0 and left.count() == right.count()
         assert rejected_capture(pair, tagged_only).count() == rejected_capture(joined, tagged_only).count()
+
+
+def test_bins_of_archives_are_cut_in_pieces(spark, monkeypatch):
+    from checks import archives as A
+    from checks.registry import Context
+    from pyspark.sql import functions as F
+
+    ctx = Context(spark, "unused")
+    # 200 orders of bin 5 (cut off) and bin 8 (readable); the first order of bin 8 has no body
+    orders = spark.range(200).select((F.col("id") * 64 + F.lit(5) + 3 * (F.col("id") % 2)).alias("order"))
+    ctx._known["fx_bins"] = orders.select(
+        F.concat(F.lit("F"), (F.col("order") % 64).cast("string")).alias("file"), (F.col("order") % 64).alias("order_key"),
+        F.lit(1).alias("proc"), (F.col("order") * 10 + 1).alias("line"), F.concat(F.lit("D"), F.col("order").cast("string")).alias("doc_id"),
+        F.when(F.col("order") > 200, "1").otherwise("0").alias("is_body"), F.col("order").alias("part"))
+    monkeypatch.setattr(A, "_ORDERS_PER_PIECE", 1000)
+    archives = A.scan_archives(spark, A._written(ctx)).count()
+    assert archives > 20
+    assert [(r.bin, r.error) for r in A.x3_errors(ctx).collect()] == [(5, "not well-formed")]
+    assert [r.doc_id for r in A.s4(ctx).collect()] == ["D328"]
+
+
+def test_no_text_goes_through_the_join_of_lengths(spark):
+    from checks.joins_filters import _aligned
+    from checks.registry import Context
+
+    ctx = Context(spark, "unused")
+    ctx._known["fx_index"] = spark.createDataFrame([("a", "xy")], "doc_key string, indexstring string")
+    ctx._known["fx_body"] = spark.createDataFrame([("a", "xyz")], "doc_key string, rawbody string")
+    plan = _aligned(ctx, True)
+    assert [tuple(r) for r in plan.collect()] == [("a", 2, 3)]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "rawbody" not in text.partition("Join")[0]
