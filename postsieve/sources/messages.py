@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions import headers as H
 from postsieve.functions.headers import GENERATED_NAME
+from postsieve.functions.rewrite import evaluated_once
 from postsieve.schemas import HEADER, MAIL_CONTAINER
 from postsieve.session import new_folder
 
@@ -104,7 +105,9 @@ def parse_messages(messages: DataFrame, attachments: bool = True) -> DataFrame:
     headed = messages.select("mid", "content", H.header_block(F.col("content")).alias("__head"))
     headed = headed.select("mid", "content", *[c.alias(name) for name, c in H.header_columns(F.col("__head")).items()])
     headed = headed.withColumn("__sent", H.sent_time(F.col("date_raw")))
-    parsed = headed.withColumn("__mime", _mime(attachments)(F.col("content"), F.col("__sent").isNotNull()))
+    # a filter on the error must not parse every message a second time
+    mime = evaluated_once(_mime(attachments)(F.col("content"), F.col("__sent").isNotNull()))
+    parsed = headed.withColumn("__mime", mime)
     sent = F.coalesce("__sent", F.try_to_timestamp("__mime.sent", F.lit("yyyy-MM-dd HH:mm:ss")))
     return parsed.withColumns({"date": H.format_date(sent), "time": H.format_time(sent)}).select(
         "mid", *[F.col(f"`{f.name}`") for f in HEADER],

@@ -204,3 +204,11 @@ def test_daily_files_are_taken_once(spark, tmp_path):
     day("b", "c")
     assert run() == ["a", "b", "c"]
     assert run() == ["a", "b", "c"]
+
+
+def test_a_filter_on_the_error_parses_once(spark):
+    from postsieve.sources.messages import parse_messages
+
+    df = spark.createDataFrame([("a", bytearray(b"From: x\n\ny"))], "mid string, content binary")
+    plan = parse_messages(df).filter("error is null")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
