@@ -127,6 +127,26 @@ def test_first_arrival_in_load_order(spark, tmp_path):
     assert arrive(("a", 3, 1, "again"), ("c", 3, 2, "c")) == [*known, ("c", "c")]
 
 
+def test_first_arrival_settles_many_keys_in_one_call(spark, tmp_path):
+    """Keys of one bucket share a call and a state: 1,500 mails take a few calls, not one each."""
+    schema = "message_id string, file_seq int, row_seq int, body string"
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+
+    def arrive(file_seq, numbers):
+        rows = [(f"m{n}" if n else None, file_seq, row, f"{file_seq}-{row}") for n in numbers for row in (2, 1)]
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(source)
+        stream = daily.keep_first_arrival(daily.stream_containers(spark, source, schema), buckets=4)
+        query = daily.append_new(stream, target, progress)
+        query.awaitTermination()
+        states = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+        return states, {(r.message_id, r.body) for r in spark.read.schema(schema).parquet(target).collect()}
+
+    name = lambda n: f"m{n}" if n else None
+    early = {(name(n), "1-1") for n in range(1000)}
+    assert arrive(1, range(1000)) == (4, early)
+    assert arrive(2, range(500, 1500)) == (4, early | {(name(n), "2-1") for n in range(1000, 1500)})
+
+
 def test_archive_files(spark, tmp_path):
     xml = ('<?xml version="1.0"?><S StackID="1"><PROCESS ProcessID="p"><DOCUMENT DocID="d" ExportName="T" AlteredBy="A">'
            '<FIELD Name="imp_EDOC-isBody" Value="1"/><FIELD Name="imp_EDOC-Body" Value="B"/></DOCUMENT></PROCESS></S>')
