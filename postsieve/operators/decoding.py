@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions.charset import decode_body, propose_charset
 from postsieve.functions.headers import UNKNOWN_ENCODING
+from postsieve.functions.rewrite import evaluated_once
 
 
 def with_proposal(df: DataFrame, body: str = "body") -> DataFrame:
@@ -32,7 +33,8 @@ def with_decoded_body(
 
 
 def drop_undecoded(df: DataFrame, column: str = "body_dc") -> DataFrame:
-    """Rows whose body was decoded."""
+    """Rows whose body was decoded; it is decoded once, not again by the filter below all joins."""
+    df = df.withColumn(column, evaluated_once(F.col(column)))
     return df.filter(F.col(column).isNotNull())
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions.masks import mask_text, with_masked_text
 from postsieve.functions.phrases import clean_mail, truncate
+from postsieve.functions.rewrite import evaluated_once
 from postsieve.operators.decoding import drop_undecoded, with_decoded_body, with_proposal
 from postsieve.operators.dedup import keep_first
 from postsieve.operators.filters import drop_senders, drop_subjects
@@ -76,6 +77,7 @@ def anonymise_mails(
 def undecoded_mails(mails: DataFrame, other_charsets: bool = True) -> DataFrame:
     """Selected mails whose body no charset decodes: what :func:`decode_mails` drops."""
     decoded = with_decoded_body(with_proposal(mails), other_charsets=other_charsets)
+    decoded = decoded.withColumn("body_dc", evaluated_once(F.col("body_dc")))
     return decoded.filter(F.col("body_dc").isNull() & F.col("body").isNotNull()).drop("body_dc")
 
 

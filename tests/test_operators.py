@@ -415,3 +415,16 @@ def test_first_body_needs_no_search_of_the_ids_for_every_document(spark):
 def test_a_small_lookup_of_large_estimate_is_collected(spark):
     df = spark.range(1000).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("token")).distinct()
     assert collect_if_small(df, max_bytes=1000).num_rows == 10
+
+
+def test_bodies_are_decoded_once(spark):
+    """The filter on decoded bodies stays above the decoding, also with a join below."""
+    from postsieve.plans.mail_corpus import decode_mails, undecoded_mails
+
+    bodies = spark.createDataFrame([(1, b"a"), (2, b"\xfc"), (3, None)], "k int, body binary")
+    names = spark.createDataFrame([(1, "utf-8"), (2, "nonsense-8"), (3, "utf-8")], "k int, encoding string")
+    mails = bodies.join(names, "k").withColumn("body", F.concat("body", F.encode(F.lit(" "), "UTF-8")))
+    for result, left in ((decode_mails(mails), [1]), (undecoded_mails(mails), [2])):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("utf" in line for line in plan.splitlines() if "Filter" in line)
+        assert sorted(r.k for r in result.collect()) == left
