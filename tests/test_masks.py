@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from postsieve.functions.masks import count_tag, mask_one, mask_text, with_masked_text
+from postsieve.functions.masks import count_tag, finish, mask_one, mask_step, mask_text, with_masked_text
 from postsieve.operators.filters import drop_failed
 from postsieve.rules import mask_rules as M
 
@@ -118,3 +118,33 @@ def test_nothing_left_to_mask(spark):
 
 def test_count_tag(one):
     assert one("<PLZ> und <PLZ>", lambda c: count_tag(c, "<PLZ>")) == 2
+
+
+def test_hints_near_digits_miss_no_match(spark):
+    """Rules are skipped by hints on the digits and their surroundings; the result is that of all rules."""
+    from postsieve.functions.rewrite import apply_step, around_digits
+
+    far = "ohne jede Ziffer steht hier ein langer Text "
+    parts = [
+        "DE12 3456 7890 1234 5678 42", "DE" + "1" * 20, "LC1234X12345678", "CF123456789012", "1.1.20", "31.12.2020",
+        "CFGHK1234", "A1/234/56789", "49 166 582 123", "12345678901", "0171 1234567", "+49 89 1234-5", "0049(89)12345",
+        "(089) 12345-6", "a.b@c.de", "WABX2123456789012", "AB12345", "DON-Z 1000 ", "m ab1234x", "Q 123456", "q-12345",
+        "80331", "123456", "1234567", "12345678", "123456789", "1234567890", "1234567/123/1234", "٣٤٥٦٧٨", "x.de/a1",
+    ]
+    texts = [f"{a}{sep}{b}" for a in parts for b in parts[::3] for sep in ("", " ", f" {far}", "\n")]
+    texts += [f"{far}{p} {far}{p}{far}" for p in parts] + ["", far, None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+
+    def all_rules(col):
+        for rule in M.MASK_SEQUENCE:
+            col = apply_step(col, mask_step(rule))
+        return finish(col)
+
+    rows = df.select("v", mask_text(F.col("v")).alias("got"), all_rules(F.col("v")).alias("whole"),
+                     around_digits(F.col("v")).alias("near")).collect()
+    for row in rows:
+        assert row.got == row.whole, row.v
+    near = {row.v: row.near for row in rows}
+    assert near[far] == "" and near["80331\n80331"] == "80331\n80331"
+    text = f"{far}80331 {far}80331{far}"
+    assert near[text] == f"{far[:8]}\n{far[-8:]}80331 {far[:7]}\n{far[-8:]}80331{far[:8]}\n{far[-8:]}"
