@@ -428,3 +428,21 @@ def test_bodies_are_decoded_once(spark):
         plan = result._jdf.queryExecution().optimizedPlan().toString()
         assert not any("utf" in line for line in plan.splitlines() if "Filter" in line)
         assert sorted(r.k for r in result.collect()) == left
+
+
+def test_nesting_is_searched_in_the_shapes_of_the_files(spark):
+    """Files that differ in attributes, texts and numbers of fields are one shape; others keep their text."""
+    field = "<FIELD Name='a > b' Value=\"{}\"/>"
+    xml = '<S StackID="{0}"><PROCESS ProcessID="p">{1}</PROCESS></S>'.format
+    plain = [xml(i, _document(i, 1, f"<G i='{i}'>\n{field.format(i) * (i + 1)}t{i}</G>")) for i in range(3)]
+    plain.append(xml(9, _document(9, 1, f"<G>{field.format(9) * 20_000}</G>")))
+    df = spark.createDataFrame([(x,) for x in plain], "xml string")
+    assert df.select(archive._shape(F.col("xml"))).distinct().count() == 1
+    assert archive.field_nesting(df) == ("G",)
+    kept = [
+        xml(1, _document(1, 1, f"<H><!-- <I>{field}</I> --><![CDATA[<K>{field}</K>]]>{field}</H>")),
+        xml(2, _document(2, 1, f'<n:L xmlns:n="u"><M>{field}</M></n:L>')),
+        '<?xml version="1.0"?>' + xml(3, _document(3, 1, f"<O><?p <Q>?><R>{field}</R></O>")),
+    ]
+    nested = archive.field_nesting(spark.createDataFrame([(x,) for x in plain + kept], "xml string"))
+    assert {"G", "H", "O/R"} <= set(nested) and not {"I", "H/I", "H/K", "Q"} & set(nested)
