@@ -48,7 +48,8 @@ def archive_container(mails: DataFrame, received_format: str, key: str = "file")
 
     The archive's key becomes the mail's id, and orders the load; date and time
     come from the time of receipt, null where it does not have the format.
-    Attachments are not read.
+    Attachments are not read.  The container is written to the shared folder,
+    as the mail build reads it several times: every archive is parsed once.
     """
     received = F.try_to_timestamp("received", F.lit(received_format))
     known = {
@@ -59,5 +60,8 @@ def archive_container(mails: DataFrame, received_format: str, key: str = "file")
         "nbr_specfiles": F.lit(0),
     }
     known["message_id"] = H.message_id(known["date"], known["time"], F.col("subject"))
-    return mails.select(*[
+    container = mails.select(*[
         known.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in MAIL_CONTAINER])
+    path = new_folder(mails.sparkSession, "archives")
+    container.write.parquet(path)
+    return mails.sparkSession.read.schema(container.schema).parquet(path)

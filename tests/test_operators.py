@@ -446,3 +446,13 @@ def test_nesting_is_searched_in_the_shapes_of_the_files(spark):
     ]
     nested = archive.field_nesting(spark.createDataFrame([(x,) for x in plain + kept], "xml string"))
     assert {"G", "H", "O/R"} <= set(nested) and not {"I", "H/I", "H/K", "Q"} & set(nested)
+
+
+def test_archives_are_parsed_once_for_the_mail_build(spark):
+    from postsieve.plans.ingest import archive_container
+
+    xml = '<S StackID="1"><PROCESS ProcessID="p">' + _document("d", 1, '<FIELD Name="imp_EDOC-Body" Value="b"/>') + "</PROCESS></S>"
+    df = spark.createDataFrame([("f", xml)], "file string, xml string")
+    container = archive_container(archive.bodies_in_row(df), received_format="d.M.yyyy H:mm")
+    assert [(r.mid, bytes(r.body)) for r in container.collect()] == [("f", b"b")]
+    assert "from_xml(" not in _plan(container)
