@@ -456,3 +456,15 @@ def test_archives_are_parsed_once_for_the_mail_build(spark):
     container = archive_container(archive.bodies_in_row(df), received_format="d.M.yyyy H:mm")
     assert [(r.mid, bytes(r.body)) for r in container.collect()] == [("f", b"b")]
     assert "from_xml(" not in _plan(container)
+
+
+def test_joined_tokens_need_no_search_of_the_hits_for_every_token(spark):
+    table = spark.createDataFrame([("A", "<1>"), ("B", "<2>"), (None, "<3>")], "token string, tag string")
+    rows = [(1, "a, x B a"), (1, "y"), (None, "b"), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "key int, text string")
+    joined = lexicon.tag_tokens(df, "text", table, "key", "out", max_rows=0)
+    assert sorted((r.text or "", r.out) for r in joined.filter("text IS NOT NULL").collect()) == [
+        ("", ""), ("a, x B a", "<1> , x <2> <1>"), ("b", "<2>"), ("y", "y")]
+    assert [r.out for r in joined.filter("text IS NULL").collect()] == [None]
+    assert joined.columns == ["key", "text", "out"]
+    assert "map_from_entries" not in _plan(joined)

@@ -137,3 +137,9 @@ def test_no_text_goes_through_the_join_of_lengths(spark):
     assert [tuple(r) for r in plan.collect()] == [("a", 2, 3)]
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "rawbody" not in text.partition("Join")[0]
+
+
+def test_words_are_computed_once_for_all_gazetteers(spark):
+    ctx = Context(spark, SF_DIR)
+    assert "explode" not in _plan(ctx("fx_first_name")) and "explode" in _plan(ctx("fx_words"))
+    assert ctx("fx_surname").exceptAll(ctx("fx_words").filter("token like 'and%' or token like 'er%'")).count() == 0
