@@ -1,7 +1,9 @@
 """Phrase rules and their order effects."""
 
+import random
 from functools import reduce
 
+import pytest
 from pyspark.sql import functions as F
 
 from postsieve.functions import phrases as P
@@ -71,6 +73,47 @@ def test_capture_profile(one):
     assert cleaned == "<ORGN><Anrede> Am 1. schrieb service@bank.example: x"
 
 
+_HOUSES = (
+    R.HouseTerms(), R.HouseTerms(team="Hallo Haus", contact="Morgen Gut"),
+    R.HouseTerms(team="MfGs", contact="rede> x"),
+)
+
+
+@pytest.mark.parametrize("house", _HOUSES)
+def test_batches_equal_one_rule_after_the_other(spark, house):
+    parts = [p.format(team=house.team, contact=house.contact) for p in R.SALUTATIONS]
+    parts += [*R.CLOSINGS, *R.TITLES, "eehrte Damen und Herren", "fG", "Dr", "Am ", "von "]
+    parts += ["-", "--", "_=#", "---", " ", "x", "\n", "\r", "\t", "\xa0", "€", "😀", "<", ">"]
+    parts += [f" schrieb {house.mailbox}:", "iese Nachricht wurde ", "Gesendet mit ", " gesendet",
+              "App", R.BYTE_ORDER_MARK, house.organisation + " "]
+    parts += [p[:k] for p in parts for k in (1, 4)] + [p[-4:] for p in parts]
+    draw = random.Random(7)
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in [None, "", *texts]], "v string")
+    for steps in (P.mail_steps(house), P.capture_steps(house), P.mail_steps(house, compat=False)):
+        rows = df.select(
+            "v", P.clean_text(F.col("v"), steps).alias("cleaned"),
+            rewrite(P.replace_controls(F.col("v")), steps).alias("expected"),
+        ).collect()
+        assert len(rows) == len(texts) + 2
+        for row in rows:
+            assert row.cleaned == row.expected, row.v
+
+
+def test_mails_are_cleaned_without_passes_of_java_regexes(spark):
+    df = spark.range(1).selectExpr("cast(id as string) as subject", "cast(id as string) as body")
+    plan = P.clean_mail(df).select("body_clean")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan
+    assert "regexp_replace" not in plan and "RLIKE" not in plan
+
+
+def test_malformed_text_is_cleaned(one):
+    def cleaned(col):
+        return P.clean_text(F.unhex(col).cast("string"), P.mail_steps())
+
+    assert one("4DFF0AC3A4", cleaned) == "M\ufffd ä"
+
+
 def test_truncate(one):
     assert one("äbc" * 5000, lambda c: P.truncate(c, 10_000)) == ("äbc" * 5000)[:10000]
     assert one("äbc" * 5000, P.truncate) == "äbc" * 5000
