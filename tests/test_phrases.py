@@ -112,6 +112,7 @@ def test_malformed_text_is_cleaned(one):
         return P.clean_text(F.unhex(col).cast("string"), P.mail_steps())
 
     assert one("4DFF0AC3A4", cleaned) == "M\ufffd ä"
+    assert one("4DFFC3A4", lambda c: F.hex(cleaned(c))) == "4DFFC3A4"
 
 
 def test_truncate(one):
