@@ -143,3 +143,24 @@ def test_words_are_computed_once_for_all_gazetteers(spark):
     ctx = Context(spark, SF_DIR)
     assert "explode" not in _plan(ctx("fx_first_name")) and "explode" in _plan(ctx("fx_words"))
     assert ctx("fx_surname").exceptAll(ctx("fx_words").filter("token like 'and%' or token like 'er%'")).count() == 0
+
+
+def test_small_files_are_written_without_a_folder_each(spark, tmp_path):
+    from checks.files import s1
+    from checks.named import write_texts
+    from pyspark.sql import functions as F
+
+    rows = [(1, b"ein"), (1, b"ein"), (-2, "für".encode()), (3, b"\xff"), (4, None), (5, b""), (None, b"x")]
+    texts = spark.createDataFrame(rows, "doc_id long, text binary").withColumn("text", F.col("text").cast("string"))
+    write_texts(texts, "doc_id", "text", f"{tmp_path}/texts", "\u0003")
+    files = {path.name: path.read_bytes() for path in (tmp_path / "texts").iterdir()}
+    assert files == {
+        "text-1.txt": b"ein\x03ein\x03", "text--2.txt": "für\x03".encode(), "text-3.txt": b"\xff\x03",
+        "text-4.txt": b"\x03", "text-5.txt": b"\x03", "text-null.txt": b"x\x03"}
+
+    ctx = Context(spark, "unused")
+    ctx._known["documents"] = texts
+    assert sorted((r.chars, r.is_valid_utf8) for r in s1(ctx).collect()) == [
+        (0, True), (0, True), (1, False), (1, True), (3, True), (7, True)]
+    write_texts(texts.limit(0), "doc_id", "text", f"{tmp_path}/none")
+    assert [*(tmp_path / "none").iterdir()] == []
