@@ -468,3 +468,23 @@ def test_joined_tokens_need_no_search_of_the_hits_for_every_token(spark):
     assert [r.out for r in joined.filter("text IS NULL").collect()] == [None]
     assert joined.columns == ["key", "text", "out"]
     assert "map_from_entries" not in _plan(joined)
+
+
+def test_long_lists_of_senders_move_no_mail(spark, monkeypatch):
+    rows = [(i, None if i % 7 == 0 else f"s{i % 40}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, `from` string")
+    senders = spark.createDataFrame([(f"s{i}",) for i in range(0, 60, 3)] * 2 + [(None,)], "token string")
+    expected = sorted(i for i, s in rows if s is None or int(s[1:]) % 3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bits in (dedup.FILTER_BITS, 64):  # the small filter marks most senders
+            monkeypatch.setattr(dedup, "FILTER_BITS", bits)
+            # a list that goes out whole, one by its bits, and one whose wrongly marked senders are too many
+            for max_rows, small in ((1000, True), (19, True), (0, bits > 64)):
+                kept = filters.drop_senders(df, senders, max_rows=max_rows)
+                assert kept.columns == ["id", "from"] and sorted(r.id for r in kept.collect()) == expected
+                if small:
+                    assert "SortMergeJoin" not in _plan(kept)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
