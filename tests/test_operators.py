@@ -488,3 +488,25 @@ def test_long_lists_of_senders_move_no_mail(spark, monkeypatch):
                     assert "SortMergeJoin" not in _plan(kept)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_report_fans_out_behind_a_broadcast(spark):
+    from postsieve.operators.joins import with_report
+
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (None, "n"), (3, "z")], "batchid long, body string")
+    report = spark.createDataFrame(
+        [(1, "a")] * 3 + [(1, "b"), (2, None), (2, None), (None, "q"), (9, "r")], "stapel_id long, status string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("left", "inner", "full"):
+            plain = df.join(report, df["batchid"] == report["stapel_id"], how)
+            expected = sorted(map(tuple, plain.collect()), key=str)
+            for max_rows in (100, 0):
+                joined = with_report(df, report, how=how, max_rows=max_rows)
+                assert joined.columns == plain.columns and sorted(map(tuple, joined.collect()), key=str) == expected
+                assert ("SortMergeJoin" in _plan(joined)) == (how == "full" or not max_rows)
+        once = with_report(df, report.distinct())
+        assert "Generate" not in _plan(once) and once.count() == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -182,3 +182,37 @@ def test_archives_are_gathered_as_narrow_rows(spark):
     assert found[2].startswith('<STACK StackID="S2"><PROCESS ProcessID="P0"><DOCUMENT DocID="D2" ExportName="T0" AlteredBy="A2">')
     assert found[2].endswith('</DOCUMENT></PROCESS></STACK>') and found[2].count("<DOCUMENT") == 2 and "D3" not in found[2]
     assert found[11] == '<STACK StackID="S11"><PROCESS ProcessID="P0"></PROCESS></STACK>'
+
+
+def test_bodies_are_filtered_before_they_are_joined(spark):
+    from postsieve.operators.profiling import StepReport
+    from postsieve.plans.capture_corpus import build_all_records, build_capture_corpus
+
+    def text(doctype, flag, pages="3"):
+        return (f'"Klasse1","Inhalt","{{Batch ID}}","100001","{{Document ID}}","7","DocumentType","{doctype}",'
+                f'"ClassificationResultWithConfiden","{doctype};0.5;A","PageCount","{pages}","{{Document Count}}","1",'
+                f'"{{$InputChannel}}","Mail","{{$sourceSystem}}","Q","AutoClassificationConfidence","{flag}"')
+
+    index = spark.createDataFrame(
+        [("a", text("Typ1", 0)), ("b", text("Typ1", 1)), ("c", text("Typ2", 0, "")), ("d", text("Typ1", 0)), ("d", text("Typ1", 0)),
+         ("e", text("Typ1", 0)), ("f", text("Typ1", 0)), (None, text("Typ1", 0)), ("g", None), ("h", text("Typ1", "x"))],
+        "doc_key string, indexstring string")
+    body = spark.createDataFrame(
+        [("a", "frei"), ("b", "frei"), ("c", "frei c"), ("d", "eins"), ("d", "zwei"), ("e", "das ist GESPERRT"), ("f", None),
+         (None, "ohne"), ("g", "frei"), ("h", "frei"), ("k", "allein")], "doc_key string, rawbody string")
+    listed = spark.createDataFrame([("GESPERRT",)], "token string")
+    types = spark.createDataFrame([("Typ1",)], "token string")
+    joined = index.join(body, "doc_key")
+
+    def built(docs, build, **more):
+        steps = StepReport()
+        corpus = build(docs, blocklist=listed, steps=steps, **more)
+        columns = [c for c in corpus.columns if c not in ("pagecount", "doccount")]
+        return sorted(map(str, corpus.select(*columns).collect())), steps.rows(), corpus
+
+    for build, more in ((build_capture_corpus, {}), (build_all_records, {"types": types})):
+        rows, steps, corpus = built((index, body), build, **more)
+        assert (rows, steps) == built(joined, build, **more)[:2]
+        assert "bitmap_construct_agg" in _plan(corpus)
+    # of one table the medians count a document once for each of its bodies, so pages are not compared
+    assert [s[2] for s in built((index, body), build_capture_corpus)[1]] == [8, 7, 6, 6]
